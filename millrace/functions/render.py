@@ -29,21 +29,19 @@ def window_range_text(start: Column, end: Column) -> Column:
     return F.format_string("%d----%d", epoch_millis(start), epoch_millis(end))
 
 
-def match_text(match: Column, stages: Sequence[str]) -> Column:
-    """``stage=field,field;...`` in stage order.
+def match_text(match: Column, stages: Sequence[str], fields: Sequence[str]) -> Column:
+    """``stage=(field|field),...;...`` in stage order.
 
     ``match`` maps a stage name to the list of structs matched there.  A map has
     no order of its own, so the stage order is given.
     """
 
-    def fields(event: Column) -> Column:
-        return F.concat(F.lit("("), F.array_join(event, "|", "null"), F.lit(")"))
+    def row(event: Column) -> Column:
+        values = F.array(*[event[field].cast("string") for field in fields])
+        return F.concat(F.lit("("), F.array_join(values, "|", "null"), F.lit(")"))
 
     parts = [
-        F.concat(
-            F.lit(f"{stage}="),
-            F.array_join(F.transform(match[stage], fields), ","),
-        )
+        F.concat(F.lit(f"{stage}="), F.array_join(F.transform(match[stage], row), ","))
         for stage in stages
     ]
     return F.concat_ws(";", *parts)

@@ -21,6 +21,7 @@ from millrace.operators.ordered import (
     plan_blocks,
     running,
 )
+from millrace.operators.relational import integer_quotient
 from millrace.session import checkpoint_root
 
 COUNT_TYPE = "decimal(38,0)"
@@ -65,6 +66,11 @@ def _as_micros(duration: timedelta) -> int:
     return duration // timedelta(microseconds=1)
 
 
+def _floor_quotient(number: Column, size: int) -> Column:
+    rest = F.pmod(number, F.lit(size))
+    return integer_quotient(number - rest, F.lit(size))
+
+
 def _only_participants(
     staged: DataFrame,
     keys: Sequence[str],
@@ -158,7 +164,7 @@ def pattern_matches(
     bucket = (
         F.lit(0).cast("bigint")
         if within is None
-        else F.floor(_micros(F.col(ts)) / _as_micros(within))
+        else _floor_quotient(_micros(F.col(ts)), _as_micros(within))
     )
 
     def stage_rows(position: int) -> DataFrame:

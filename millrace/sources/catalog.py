@@ -62,12 +62,13 @@ def save_table(
 ) -> None:
     """A new table from a frame; its last ``partition_columns`` columns partition it.
 
-    Rows are hash-distributed by all columns of the partition and spread within it by
-    the writer's size limit, so few small files are made.
+    Rows are gathered by partition value before writing, so that a value ends up in
+    few files; Spark splits the values that would make a task too large.
     """
-    writer = df.write.format(fmt).mode(mode)
-    if partition_columns:
-        writer = writer.partitionBy(*trailing(df.columns, partition_columns))
+    last = trailing(df.columns, partition_columns)
+    writer = (df.hint("rebalance", *last) if last else df).write.format(fmt).mode(mode)
+    if last:
+        writer = writer.partitionBy(*last)
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(name)

@@ -32,7 +32,7 @@ def stream_parquet(
     path: str,
     schema: T.StructType,
     *,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Parquet files as a stream; ``max_bytes`` bounds each micro-batch."""
     reader = spark.readStream.schema(schema)
