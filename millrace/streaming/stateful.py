@@ -25,9 +25,30 @@ from millrace.operators.pattern import Stage
 ROW_LIMIT = 100_000
 
 
-def _in_order(rows: Iterator[pd.DataFrame], order_by: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(
-        list(order_by), kind="stable", ignore_index=True
+def _numbered(df: DataFrame) -> DataFrame:
+    """Columns named by position: PySpark's worker mangles some names, ``_x`` for one."""
+    return df.toDF(*[f"c{position}" for position in range(len(df.columns))])
+
+
+def _in_order(
+    rows: Iterator[pd.DataFrame], names: Sequence[str], order_by: Sequence[str]
+) -> pd.DataFrame:
+    original = {f"c{position}": name for position, name in enumerate(names)}
+    return (
+        pd.concat(list(rows), ignore_index=True)
+        .rename(columns=original)
+        .sort_values(list(order_by), kind="stable", ignore_index=True)
+    )
+
+
+def _per_key(
+    df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema
+) -> DataFrame:
+    numbers = [f"c{df.columns.index(key)}" for key in keys]
+    return (
+        _numbered(df)
+        .groupBy(*numbers)
+        .transformWithStateInPandas(processor, schema, "append", "none")
     )
 
 
@@ -42,14 +63,15 @@ def _schema(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
 
 
 class _ChangelogCount(StatefulProcessor):
-    def __init__(self, keys, order_by, out):
-        self._keys, self._order_by, self._out = keys, order_by, out
+    def __init__(self, names, keys, order_by, out):
+        self._names, self._keys = names, keys
+        self._order_by, self._out = order_by, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._count = handle.getValueState("count", "value long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        step = _in_order(rows, self._order_by)["_step"].to_numpy()
+        step = _in_order(rows, self._names, self._order_by)["_step"].to_numpy()
         known = self._count.exists()
         before = self._count.get()[0] if known else 0
         after = before + np.cumsum(step)
@@ -89,25 +111,22 @@ def stream_changelog_count(
             T.StructField(out, T.LongType()),
         ]
     )
-    return (
-        df.select(*keys, *order_by, step.cast("bigint").alias("_step"))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            _ChangelogCount(list(keys), list(order_by), out), schema, "append", "none"
-        )
-    )
+    needed = df.select(*keys, *order_by, step.cast("bigint").alias("_step"))
+    processor = _ChangelogCount(needed.columns, list(keys), list(order_by), out)
+    return _per_key(needed, keys, processor, schema)
 
 
 class _CountWindows(StatefulProcessor):
-    def __init__(self, keys, order_by, value, size):
-        self._keys, self._order_by = keys, order_by
+    def __init__(self, names, keys, order_by, value, size):
+        self._names, self._keys, self._order_by = names, keys, order_by
         self._value, self._size = value, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._open = handle.getValueState("open", "window long, rows long, total long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        values = _in_order(rows, self._order_by)[self._value].to_numpy()
+        ordered = _in_order(rows, self._names, self._order_by)
+        values = ordered[self._value].to_numpy()
         window, filled, total = self._open.get() if self._open.exists() else (0, 0, 0)
         offset = (filled + np.arange(len(values))) // self._size
         sums = np.zeros(offset[-1] + 1, dtype="int64")
@@ -148,16 +167,11 @@ def stream_count_windows(
             T.StructField("mean", T.DoubleType()),
         ]
     )
-    return (
-        df.select(*keys, *order_by, F.col(value).cast("bigint").alias(value))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            _CountWindows(list(keys), list(order_by), value, size),
-            schema,
-            "append",
-            "none",
-        )
+    needed = df.select(*keys, *order_by, F.col(value).cast("bigint").alias("_value"))
+    processor = _CountWindows(
+        needed.columns, list(keys), list(order_by), "_value", size
     )
+    return _per_key(needed, keys, processor, schema)
 
 
 def _extended(
@@ -190,8 +204,11 @@ def _extended(
 class _Pattern(StatefulProcessor):
     """Keeps the rows of all stages but the last, as far back as the bound reaches."""
 
-    def __init__(self, keys, order_by, stages, columns, within, state_schema):
-        self._keys, self._order_by, self._stages = keys, order_by, stages
+    def __init__(
+        self, input_names, keys, order_by, stages, columns, within, state_schema
+    ):
+        self._input_names, self._keys = input_names, keys
+        self._order_by, self._stages = order_by, stages
         self._columns, self._within = columns, within
         self._state_schema = state_schema
         self._names = state_schema.names
@@ -200,7 +217,7 @@ class _Pattern(StatefulProcessor):
         self._kept = handle.getListState("kept", self._state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _in_order(rows, self._order_by)[self._names]
+        new = _in_order(rows, self._input_names, self._order_by)[self._names]
         old = pd.DataFrame(list(self._kept.get()), columns=self._names)
         known = pd.concat([old, new], ignore_index=True) if len(old) else new
         arrival = np.arange(len(known))
@@ -285,6 +302,7 @@ def stream_pattern_matches(
         ]
     )
     processor = _Pattern(
+        prepared.columns,
         list(keys),
         list(order_by),
         names,
@@ -292,6 +310,4 @@ def stream_pattern_matches(
         within // timedelta(microseconds=1),
         state_schema,
     )
-    return prepared.groupBy(*keys).transformWithStateInPandas(
-        processor, schema, "append", "none"
-    )
+    return _per_key(prepared, keys, processor, schema)
