@@ -6,15 +6,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.ordered import (
     DEFAULT_MAX_ROWS,
     Running,
     plan_blocks,
     running,
+    with_carried,
 )
 from millrace.operators.relational import integer_quotient
 
+ROWS = "_rows"
+TOTAL = "_total"
+DONE = "_done"
+
 
 def count_windows(
     df: DataFrame,
@@ -45,3 +51,69 @@ def count_windows(
         .where(F.col("_size") == size)
         .drop("_size")
     )
+
+
+def carried_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
+    """Per key: rows and total of the open window, and the number of closed ones."""
+    schema = df.select(*keys).schema
+    for name in (ROWS, TOTAL, DONE):
+        schema = schema.add(name, T.LongType())
+    return schema
+
+
+def count_windows_step(
+    df: DataFrame,
+    carried: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    size: int,
+    value: str,
+    *,
+    max_rows: int = DEFAULT_MAX_ROWS,
+) -> DataFrame:
+    """All windows that ``df`` and the carried open windows touch, closed or not.
+
+    :func:`closed_windows` and :func:`open_windows` tell them apart.
+    """
+    new = df.select(
+        *keys,
+        *order_by,
+        F.lit(1).cast("bigint").alias(ROWS),
+        F.col(value).cast("bigint").alias(TOTAL),
+        F.lit(0).cast("bigint").alias(DONE),
+    )
+    rows = with_carried(new, carried)
+    blocks = plan_blocks(rows, keys, order_by, max_rows)
+    placed = running(
+        blocks.mark(rows),
+        blocks,
+        {
+            "_position": Running("sum", F.col(ROWS)),
+            "_base": Running("sum", F.col(DONE)),
+        },
+    )
+    # A carried row without open rows has position 0 and touches window 0 as well.
+    window = integer_quotient(F.greatest(F.col("_position") - 1, F.lit(0)), F.lit(size))
+    return placed.groupBy(*keys, (F.col("_base") + window).alias("window_index")).agg(
+        F.sum(ROWS).alias(ROWS), F.sum(TOTAL).alias("total")
+    )
+
+
+def closed_windows(
+    windows: DataFrame, keys: Sequence[str], size: int
+) -> DataFrame:
+    """Sum and truncated mean of the windows that are full."""
+    mean = integer_quotient(F.col("total"), F.lit(size)).cast("double")
+    return windows.where(F.col(ROWS) == size).select(
+        *keys, "window_index", "total", mean.alias("mean")
+    )
+
+
+def open_windows(windows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """What the next step has to carry."""
+    full = F.col(ROWS) == size
+    return windows.groupBy(*keys).agg(
+        F.sum(F.when(full, 0).otherwise(F.col(ROWS))).alias(ROWS),
+        F.sum(F.when(full, 0).otherwise(F.col("total"))).alias(TOTAL),
+        F.max(F.col("window_index") + full.cast("bigint")).alias(DONE),
+    )

@@ -231,3 +231,19 @@ def running(
             for name, spec in columns.items()
         ],
     )
+
+
+def nothing_carried(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
+def with_carried(df: DataFrame, carried: DataFrame) -> DataFrame:
+    """``df`` with the rows carried from before it, flagged by ``_carried``.
+
+    A carried row lacks the order columns; null sorts first, so the running
+    aggregates of a key start from what it carries.
+    """
+    new = df.withColumn("_carried", F.lit(False))
+    return new.unionByName(
+        carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+    )

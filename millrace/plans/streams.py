@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import relational, windows
 from millrace.plans import batch, tables
 from millrace.session import scratch_path
 from millrace.sinks.files import rolling_text
+from millrace.streaming.microbatch import (
+    run_changelog_count,
+    run_count_windows,
+    run_pattern_matches,
+)
 from millrace.streaming.run import (
+    all_batches,
     appended,
     completed,
     run_append,
@@ -25,6 +36,8 @@ from millrace.streaming.watermarks import check_watermarks, with_watermark
 
 # A key's share of one micro-batch meets in one task of the stateful operations.
 STATEFUL_BATCH = 1 << 30
+# The table steps split such a key, so a backlog may be worked off in large pieces.
+BACKLOG_BATCH = 1 << 40
 
 
 def events_stream(
@@ -109,23 +122,110 @@ def stream_union_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return appended(both, "union")
 
 
+def _per_batch(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    begin: Callable[[str, str], StreamingQuery],
+) -> DataFrame:
+    base = scratch_path(spark, name)
+    begin(f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    return all_batches(spark, f"{base}/rows", schema)
+
+
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = T.StructType(
+        [
+            T.StructField("is_add", T.BooleanType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("cnt", T.LongType()),
+            T.StructField("event_id", T.LongType()),
+        ]
+    )
+    return _per_batch(
+        spark,
+        "changelog",
+        schema,
+        lambda out, checkpoint: run_changelog_count(
+            events_stream(spark, sf_dir, BACKLOG_BATCH),
+            ["user_id"],
+            ["event_id"],
+            "event_type",
+            out,
+            checkpoint,
+        ),
+    )
+
+
+def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = T.StructType(
+        [
+            T.StructField("user_id", T.LongType()),
+            T.StructField("window_index", T.LongType()),
+            T.StructField("total", T.LongType()),
+            T.StructField("mean", T.DoubleType()),
+        ]
+    )
+    scores = events_stream(spark, sf_dir, BACKLOG_BATCH).select(
+        "user_id", "event_id", batch.whole("value").alias("score")
+    )
+    return _per_batch(
+        spark,
+        "count-window",
+        schema,
+        lambda out, checkpoint: run_count_windows(
+            scores, ["user_id"], ["event_id"], 2, "score", out, checkpoint
+        ),
+    )
+
+
+def stream_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    event = T.StructType([T.StructField("event_id", T.LongType())])
+    schema = T.StructType(
+        [
+            T.StructField("user_id", T.LongType()),
+            *[T.StructField(stage, event) for stage in batch.FUNNEL],
+        ]
+    )
+    found = _per_batch(
+        spark,
+        "pattern",
+        schema,
+        lambda out, checkpoint: run_pattern_matches(
+            events_stream(spark, sf_dir, BACKLOG_BATCH),
+            ["user_id"],
+            ["ts", "event_id"],
+            batch.funnel_stages(),
+            ["event_id"],
+            batch.ONE_DAY,
+            timedelta(days=1),
+            out,
+            checkpoint,
+        ),
+    )
+    return found.select(
+        "user_id",
+        *[F.col(f"{stage}.event_id").alias(f"{stage}_id") for stage in batch.FUNNEL],
+    )
+
+
+def stateful_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = events_stream(spark, sf_dir, STATEFUL_BATCH)
     changes = stream_changelog_count(events, ["user_id"], ["event_id"], "event_type")
-    return appended(changes, "changelog")
+    return appended(changes, "stateful-changelog")
 
 
-def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stateful_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = events_stream(spark, sf_dir, STATEFUL_BATCH).select(
         "user_id", "event_id", batch.whole("value").alias("score")
     )
     return appended(
         stream_count_windows(events, ["user_id"], ["event_id"], 2, "score"),
-        "count-window",
+        "stateful-count-window",
     )
 
 
-def stream_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stateful_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = stream_pattern_matches(
         events_stream(spark, sf_dir, STATEFUL_BATCH),
         ["user_id"],
@@ -134,7 +234,7 @@ def stream_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["event_id"],
         within=batch.ONE_DAY,
     )
-    found = appended(matches, "pattern")
+    found = appended(matches, "stateful-pattern")
     return found.select(
         "user_id",
         *[F.col(f"{stage}_event_id").alias(f"{stage}_id") for stage in batch.FUNNEL],
@@ -190,6 +290,9 @@ QUERIES = {
         stream_changelog,
         stream_count_window,
         stream_pattern,
+        stateful_changelog,
+        stateful_count_window,
+        stateful_pattern,
         stream_parsed_lines,
         rolling_sink,
         watermark_audit,
@@ -218,7 +321,10 @@ ORACLES = {
         SELECT event_id, user_id, value FROM events WHERE value > 10
         UNION ALL
         SELECT event_id, user_id, value FROM events WHERE value < 2""",
-    "stream_changelog": f"""
+    "stream_changelog": batch.ORACLES["changelog_count_user"],
+    "stateful_count_window": batch.ORACLES["count_window_2"],
+    "stateful_pattern": batch.ORACLES["pattern_signup_view_purchase_1d"],
+    "stateful_changelog": f"""
         SELECT is_add, user_id, cnt FROM ({batch.ORACLES["changelog_count_user"]})""",
     "stream_count_window": batch.ORACLES["count_window_2"],
     "stream_pattern": batch.ORACLES["pattern_signup_view_purchase_1d"],

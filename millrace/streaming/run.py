@@ -95,6 +95,11 @@ def run_latest(
     return start(writer, result.sparkSession, checkpoint, interval=interval)
 
 
+def all_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The rows of every micro-batch written so far."""
+    return spark.read.schema(_with_batch_id(schema)).parquet(out).drop("batch_id")
+
+
 def latest_rows(
     spark: SparkSession, out: str, schema: T.StructType, keys: list[str]
 ) -> DataFrame:
