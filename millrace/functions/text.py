@@ -27,9 +27,12 @@ def space_tokens(text: Column) -> Column:
     )
 
 
-def words(text: Column) -> Column:
-    """Lower-cased runs of ASCII letters, digits and underscores, in order."""
-    return F.filter(F.split(F.lower(text), NON_WORD), lambda w: F.length(w) > 0)
+def word_pieces(text: Column) -> Column:
+    """Lower-cased runs of ASCII letters, digits and underscores, in order.
+
+    The first and last piece are empty when the text begins or ends otherwise.
+    """
+    return F.split(F.lower(text), NON_WORD)
 
 
 def char_at(code_point: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import SPACE, is_not_blank, space_tokens, words
+from millrace.functions.text import SPACE, is_not_blank, space_tokens, word_pieces
 from millrace.functions.times import at_date
 
 
@@ -55,4 +55,6 @@ def explode_space_tokens(df: DataFrame, column: str, out: str = "word") -> DataF
 
 def explode_words(df: DataFrame, column: str, out: str = "word") -> DataFrame:
     """One row per lower-cased word."""
-    return df.select(F.explode(words(F.col(column))).alias(out))
+    # Filtering rows stays in generated code; filtering inside the array would not.
+    pieces = df.select(F.explode(word_pieces(F.col(column))).alias(out))
+    return pieces.where(F.length(out) > 0)
