@@ -110,4 +110,5 @@ def prices_file(tmp_path):
 
 
 def tuples(df, *names):
-    return sorted((tuple(row) for row in df.select(*(names or df.columns)).collect()), key=repr)
+    shown = df.select(*names) if names else df
+    return sorted((tuple(row) for row in shown.collect()), key=repr)

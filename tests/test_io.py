@@ -1,0 +1,338 @@
+"""Files, tables, databases and Kafka envelopes, without a network."""
+
+import uuid
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace import schemas
+from millrace.operators import relational
+from millrace.session import checkpoint_root, is_local, scratch_path
+from millrace.sinks import catalog as catalog_sink
+from millrace.sinks import files as file_sink
+from millrace.sinks import jdbc as jdbc_sink
+from millrace.sinks import kafka as kafka_sink
+from millrace.sources import catalog, files, generated, jdbc, kafka
+from tests import fixtures
+from tests.fixtures import tuples
+
+BOOKS = [
+    (1, "Spark 实战", "jack", 100.0, 25),
+    (2, "Presto技术内幕", "lucy", 88.0, 24),
+]
+BOOK_TYPES = "title VARCHAR(50), author VARCHAR(50)"
+
+
+@pytest.fixture
+def database():
+    return {"url": f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"}
+
+
+def test_csv_with_decimals_and_micros(spark, tmp_path):
+    df = files.read_csv(spark, fixtures.prices_file(tmp_path), schemas.PRICE)
+    assert df.count() == 5
+    assert df.where("currency = 'Yen'").first().asDict() == {
+        "price": Decimal("50.00"),
+        "currency": "Yen",
+        "ts6": datetime(2019, 12, 12, 0, 0, 4, 4001),
+    }
+    path = str(tmp_path / "out")
+    file_sink.write_csv(df, path, delimiter="\t", single_file=True)
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+    again = files.read_csv(spark, path, schemas.PRICE, delimiter="\t")
+    assert tuples(again) == tuples(df)
+
+
+@pytest.mark.parametrize(
+    ("text", "schema", "expected"),
+    [
+        ("1,1\n2,2\n3,3\n", "a int, b int", [(1, 1), (2, 2), (3, 3)]),
+        ("tom\njimmy\nandy", "name string", [("andy",), ("jimmy",), ("tom",)]),
+    ],
+)
+def test_small_csv_files(spark, tmp_path, text, schema, expected):
+    (tmp_path / "in.csv").write_text(text)
+    df = files.read_csv(spark, str(tmp_path), T.StructType.fromDDL(schema))
+    assert tuples(df) == expected
+
+
+def test_words_from_csv_to_csv(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("hello\nworld\nhello\nworld\n")
+    words = files.read_csv(spark, str(tmp_path / "in.csv"), schemas.WORD)
+    counts = relational.grouped_count(words, ["word"], "cnt")
+    file_sink.write_csv(counts, str(tmp_path / "out"), delimiter="\t")
+    written = files.read_text(spark, str(tmp_path / "out"))
+    assert tuples(written) == [("hello\t2",), ("world\t2",)]
+
+
+def test_text_sink_overwrites_only_on_request(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(3)
+    file_sink.write_text(df, path, F.col("id"))
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        file_sink.write_text(df, path, F.col("id"))
+    file_sink.write_text(spark.range(1), path, F.col("id"), overwrite=True)
+    assert tuples(files.read_text(spark, path)) == [("0",)]
+
+
+def test_books_through_a_database(spark, database):
+    books = generated.rows(spark, BOOKS, schemas.BOOK)
+    jdbc_sink.append(books, database, "books", column_types=BOOK_TYPES)
+    found = jdbc.read_query(
+        spark, database, 'SELECT * FROM books WHERE "id" >= 1', schemas.BOOK
+    )
+    assert tuples(found) == BOOKS
+    other_names = books.toDF("a", "b", "c", "d", "e")
+    jdbc_sink.append(other_names, database, "books", by_position=True)
+    assert jdbc.read_query(spark, database, "SELECT * FROM books", schemas.BOOK).count() == 4
+
+
+def test_declared_types_win(spark, database):
+    jdbc_sink.append(spark.range(3), database, "numbers")
+    schema = T.StructType([T.StructField("n", T.StringType())])
+    found = jdbc.read_query(spark, database, 'SELECT "id" FROM numbers', schema)
+    assert found.schema == schema
+    assert tuples(found) == [("0",), ("1",), ("2",)]
+
+
+def test_limit_in_the_query(spark, database):
+    accounts = [(n, f"n{n}", f"e{n}", f"p{n}", n % 2 == 0) for n in range(25)]
+    df = generated.rows(spark, accounts, schemas.ACCOUNT)
+    types = "name VARCHAR(9), email VARCHAR(9), phone VARCHAR(9)"
+    jdbc_sink.append(df, database, "accounts", column_types=types)
+    found = jdbc.read_query(
+        spark, database, "SELECT * FROM accounts FETCH FIRST 10 ROWS ONLY", schemas.ACCOUNT
+    )
+    rows = tuples(found)
+    assert len(rows) == 10
+    assert set(rows) <= set(accounts)
+
+
+def test_parallel_ranges_keep_rows_outside_the_bounds(spark, database):
+    jdbc_sink.append(spark.range(100), database, "numbers")
+    found = jdbc.read_table(
+        spark,
+        database,
+        "numbers",
+        T.StructType([T.StructField("id", T.LongType())]),
+        column="id",
+        lower=40,
+        upper=60,
+        partitions=5,
+    )
+    assert found.count() == 100
+    assert found.select(F.spark_partition_id()).distinct().count() == 5
+
+
+def test_upsert_keeps_the_latest_value(spark, database):
+    schema = "word string, cnt bigint"
+    types = "word VARCHAR(20) NOT NULL"
+    first = spark.createDataFrame([("hello", 1), ("world", 1)], schema)
+    jdbc_sink.append(first, database, "counts", column_types=types.replace(" NOT NULL", ""))
+    second = spark.createDataFrame([("hello", 2), ("new", 1)], schema)
+    for _ in range(2):
+        jdbc_sink.upsert(
+            second, database, "counts", ["word"], column_types="word VARCHAR(20)"
+        )
+    found = jdbc.read_query(
+        spark, database, "SELECT * FROM counts", T.StructType.fromDDL(schema)
+    )
+    assert tuples(found) == [("hello", 2), ("new", 1), ("world", 1)]
+
+
+def test_streamed_counts_in_a_database(spark, database, tmp_path):
+    schema = T.StructType.fromDDL("word string, cnt bigint")
+    types = "word VARCHAR(20)"
+    empty = spark.createDataFrame([], schema)
+    jdbc_sink.append(empty, database, "counts", column_types=types)
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def run():
+        words = files.stream_csv(spark, str(source), schemas.WORD)
+        counts = relational.grouped_count(words, ["word"], "cnt")
+        jdbc_sink.stream_upsert(
+            counts, database, "counts", ["word"], str(tmp_path / "cp"), column_types=types
+        ).awaitTermination()
+        return tuples(jdbc.read_query(spark, database, "SELECT * FROM counts", schema))
+
+    (source / "a.csv").write_text("hello\nworld\n")
+    assert run() == [("hello", 1), ("world", 1)]
+    (source / "b.csv").write_text("hello\nnew\n")
+    assert run() == [("hello", 2), ("new", 1), ("world", 1)]
+
+
+def test_streamed_rows_in_a_database(spark, database, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("hello\nworld\n")
+    types = "word VARCHAR(20)"
+    empty = spark.createDataFrame([], schemas.WORD)
+    jdbc_sink.append(empty, database, "words", column_types=types)
+    words = files.stream_csv(spark, str(tmp_path / "in"), schemas.WORD)
+    jdbc_sink.stream_append(
+        words, database, "words", str(tmp_path / "cp")
+    ).awaitTermination()
+    found = jdbc.read_query(spark, database, "SELECT * FROM words", schemas.WORD)
+    assert tuples(found) == [("hello",), ("world",)]
+
+
+def test_merge_statement_of_keys_only():
+    assert jdbc_sink.merge_statement("t", "s", ["k"], ["k"]) == (
+        'MERGE INTO t t USING s s ON t."k" = s."k"'
+        ' WHEN NOT MATCHED THEN INSERT ("k") VALUES (s."k")'
+    )
+
+
+@pytest.fixture
+def catalog_database(spark):
+    name = f"db_{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, name)
+    catalog.use(spark, name, "spark_catalog")
+    yield name
+    catalog.use(spark, "default")
+
+
+def test_devices_between_tables(spark, catalog_database):
+    schema = T.StructType.fromDDL("id int, name string")
+    catalog.create_table(spark, "source", schema, "csv")
+    spark.sql("INSERT INTO source VALUES (1, 'mac book'), (2, 'iphone')")
+    catalog.create_table(spark, "dest", T.StructType.fromDDL("a int, b string"), "parquet")
+    catalog_sink.insert_into(spark.sql("SELECT * FROM source"), "dest")
+    expected = [(1, "mac book"), (2, "iphone")]
+    assert tuples(catalog.read_table(spark, f"{catalog_database}.dest")) == expected
+    catalog.drop_table(spark, "dest")
+    catalog.drop_table(spark, "dest")
+    assert not spark.catalog.tableExists("dest")
+
+
+def test_last_columns_partition_a_table(spark, catalog_database):
+    df = spark.createDataFrame([(1, "mac book"), (2, "iphone")], "id int, name string")
+    catalog.save_table(df, "saved", partition_columns=1)
+    assert spark.sql("SHOW PARTITIONS saved").count() == 2
+    assert tuples(catalog.read_table(spark, "saved")) == tuples(df)
+    catalog.create_table(spark, "declared", df.schema, "parquet", partition_columns=1)
+    catalog_sink.insert_into(df, "declared")
+    assert spark.sql("SHOW PARTITIONS declared").count() == 2
+
+
+def test_years(spark, catalog_database):
+    catalog.create_table(
+        spark, "years", T.StructType.fromDDL("year string, value int"), "parquet"
+    )
+    spark.sql(
+        "INSERT INTO years VALUES ('2014', 3), ('2014', 4), ('2015', 2), ('2015', 5)"
+    )
+    df = catalog.read_table(spark, "years")
+    assert df.count() == 4
+    assert tuples(df.groupBy("year").agg(F.max("value"))) == [("2014", 4), ("2015", 5)]
+
+
+def test_hive_format_table(spark, catalog_database):
+    spark.sql("CREATE TABLE hive_years (year STRING, value INT) STORED AS TEXTFILE")
+    df = spark.createDataFrame([("2014", 3), ("2015", 2)], "a string, b int")
+    catalog_sink.insert_into(df, "hive_years")
+    assert tuples(catalog.read_table(spark, "hive_years")) == tuples(df)
+
+
+def test_views(spark):
+    df = spark.createDataFrame([(1, "a", True)], "x int, y string, z boolean")
+    catalog.view(df, "some_columns", ["y", "x"])
+    assert spark.table("some_columns").columns == ["y", "x"]
+
+
+def envelope(spark, values):
+    rows = [
+        (None, bytearray(value, "utf-8"), "t", 0, offset, datetime(2024, 1, 1, 0, 0, offset))
+        for offset, value in enumerate(values)
+    ]
+    return spark.createDataFrame(rows, schemas.KAFKA_ENVELOPE)
+
+
+def test_kafka_json(spark):
+    frame = envelope(spark, ['{"id":100}', '{"id":1000}', '{"id":10000}', "junk"])
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    observation = Observation()
+    decoded = kafka.counted(
+        kafka.decode(frame, schema, event_time="ts"), observation
+    )
+    assert tuples(decoded) == [
+        (100, datetime(2024, 1, 1, 0, 0, 0)),
+        (1000, datetime(2024, 1, 1, 0, 0, 1)),
+        (10000, datetime(2024, 1, 1, 0, 0, 2)),
+        (None, datetime(2024, 1, 1, 0, 0, 3)),
+    ]
+    assert observation.get == {"records": 4}
+    kafka.register_topic_view(frame, "ids", schema)
+    assert spark.sql("SELECT sum(id) FROM ids").first()[0] == 11100
+
+
+def test_kafka_csv_and_text(spark):
+    frame = envelope(spark, ["1,a", "2,b"])
+    schema = T.StructType.fromDDL("id int, price decimal(10,2), name string").fields
+    schema = T.StructType([schema[0], schema[2]])
+    assert tuples(kafka.decode(frame, schema, "csv")) == [(1, "a"), (2, "b")]
+    assert tuples(kafka.decode_text(frame)) == [("1,a",), ("2,b",)]
+    priced = T.StructType.fromDDL("id int, price decimal(10,2)")
+    found = kafka.decode(envelope(spark, ["1,2.5"]), priced, "csv")
+    assert tuples(found) == [(1, Decimal("2.50"))]
+
+
+def test_kafka_records_go_there_and_back(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, 2.5)], "id int, s string, d double")
+    records = kafka_sink.encode_json(df, ["id"])
+    assert tuples(records, "key") == [("1",), ("2",)]
+    frame = records.select(F.col("value").cast("binary").alias("value"))
+    assert tuples(kafka.decode(frame, df.schema)) == tuples(df)
+    text = kafka_sink.encode_text(generated.counter(spark), F.col("value"))
+    assert text.columns == ["value"]
+    assert text.count() == 1001
+
+
+def test_kafka_options():
+    client = {
+        "bootstrap.servers": "h:1",
+        "group.id": "g",
+        "enable.auto.commit": False,
+        "auto.offset.reset": "latest",
+        "max.poll.records": "10",
+        "key.deserializer": "x",
+        "value.deserializer": "x",
+        "session.timeout.ms": "30000",
+    }
+    assert kafka.source_options("t", client) == {
+        "subscribe": "t",
+        "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "10",
+        "kafka.bootstrap.servers": "h:1",
+        "kafka.group.id": "g",
+        "kafka.session.timeout.ms": "30000",
+    }
+    assert kafka.source_options("t", {})["startingOffsets"] == "earliest"
+    assert kafka_sink.sink_options("t", {"acks": "all", "key.serializer": "x"}) == {
+        "topic": "t",
+        "kafka.acks": "all",
+    }
+
+
+def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
+    schema = T.StructType.fromDDL("key string, ts timestamp")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,2024-01-01 00:00:00\na,2024-01-01 00:00:01\nb,2024-01-01 00:00:02\n")
+    stream = files.stream_csv(spark, str(folder), schema)
+    once = kafka_sink.once_per_key(stream, "ts", "1 minute", ["key"])
+    from millrace.streaming.run import appended
+
+    assert tuples(appended(once, "once"), "key") == [("a",), ("b",)]
+
+
+def test_scratch_folder_is_the_configured_one(spark):
+    assert is_local(spark)
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_root(spark) == root
+    assert scratch_path(spark, "x").startswith(f"{root}/x-")
