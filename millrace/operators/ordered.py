@@ -2,8 +2,8 @@
 
 A window ``PARTITION BY key ORDER BY seq`` puts a whole key into one task.  That
 is fine for ordinary keys and hopeless for a key that holds a third of the table.
-Here the keys above a row limit are found first (one counting pass over the key
-columns).  Without any, the plan is the plain window.  Otherwise the rows of the
+Here the keys above a row limit are found first, from a sample of the key and order
+columns.  Without any, the plan is the plain window.  Otherwise the rows of the
 hot keys are cut into blocks along their order, so that
 
 * the window runs per ``(key, block)``, which is one shuffle and bounded groups;
@@ -14,7 +14,9 @@ The result is exact either way: limits and samples only decide where to cut.
 
 from __future__ import annotations
 
+import json
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -28,6 +30,7 @@ MAX_HOT_KEYS = 20_000
 MAX_BLOCK_TOTALS = 1_000_000
 MAX_BLOCKS = 8_192
 SAMPLES_PER_BLOCK = 25
+HITS_AT_LIMIT = 400
 
 HOT = "_hot"
 BLOCK = "_block"
@@ -52,14 +55,15 @@ class Running:
 class Blocks:
     """How the rows of a frame are split: nothing to split when ``hot`` is empty.
 
-    ``bounds`` are order tuples as JSON.  A bound may lose digits on the way, which
-    moves the cut and changes nothing else.
+    ``bounds`` are values of the leading order columns ``cut_by``, as JSON.  A bound
+    may lose digits on the way, which moves the cut and changes nothing else.
     """
 
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
     hot: tuple[Row, ...] = ()
     bounds: tuple[str, ...] = ()
+    cut_by: tuple[str, ...] = ()
 
     @property
     def split(self) -> bool:
@@ -90,13 +94,14 @@ class Blocks:
         """Number of bounds at or below the row: a binary search over a literal array."""
         if not self.bounds:
             return F.lit(0)
-        names = self.order_by
+        names = self.cut_by
         element = T.ArrayType(df.select(*names).schema)
-        # Folded into one sorted array while planning.
-        bounds = F.sort_array(
-            F.from_json(F.lit(f"[{','.join(self.bounds)}]"), element)
-        )
+        bounds = F.from_json(F.lit(f"[{','.join(self.bounds)}]"), element)
         here = F.struct(*[F.col(name) for name in names])
+        if len(names) == 1:
+            bounds, here = bounds.getField(names[0]), F.col(names[0])
+        # Folded into one literal array while planning.
+        bounds = F.sort_array(bounds)
         top = 1 << (len(self.bounds).bit_length() - 1)
         steps = [top >> shift for shift in range(top.bit_length())]
 
@@ -113,36 +118,70 @@ def plan_blocks(
     order_by: Sequence[str],
     max_rows: int = DEFAULT_MAX_ROWS,
 ) -> Blocks:
-    """Finds the keys with more than ``max_rows`` rows and where to cut them.
+    """Finds the keys with about ``max_rows`` rows or more, and where to cut them.
 
-    Runs a counting job over the key columns and, only when it finds hot keys, a
-    sampling job over their order columns.  The driver receives the hot keys and
-    the cut points, never the rows.
+    One scan of the key and order columns draws a sample in which a key at the limit
+    shows up ``HITS_AT_LIMIT`` times, so no hot key is overlooked.  The driver
+    receives the hot keys and the cut points.
     """
     keys, order_by = tuple(keys), tuple(order_by)
-    counts = df.groupBy(*keys).count().where(F.col("count") > max_rows)
-    hot = counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()
-    if not hot:
-        return Blocks(keys, order_by)
-    hot_rows = sum(row["count"] for row in hot)
-    hot_keys = tuple(Row(*row[:-1]) for row in hot)
-    blocks = min(
-        math.ceil(2 * hot_rows / max_rows),
-        max(2, MAX_BLOCK_TOTALS // len(hot_keys)),
-        MAX_BLOCKS,
-    )
-    marked = Blocks(keys, order_by, hot_keys).mark(df).where(F.col(HOT).isNotNull())
-    fraction = min(1.0, SAMPLES_PER_BLOCK * blocks / hot_rows)
-    sample = (
-        marked.select(*order_by)
-        .sample(fraction=fraction, seed=0)
-        .orderBy(*order_by)
-        .select(F.to_json(F.struct(*order_by)))
-        .collect()
-    )
-    step = max(1, len(sample) // blocks)
-    bounds = tuple(dict.fromkeys(text for (text,) in sample[step::step]))
-    return Blocks(keys, order_by, hot_keys, bounds)
+    fraction = min(1.0, HITS_AT_LIMIT / max_rows)
+    sample = df.select(*dict.fromkeys([*keys, *order_by]))
+    if fraction < 1.0:
+        sample = sample.sample(fraction=fraction, seed=0)
+    sample = sample.persist()
+    try:
+        hot = (
+            sample.groupBy(*keys)
+            .count()
+            .where(F.col("count") > max_rows * fraction)
+            .orderBy(F.desc("count"))
+            .limit(MAX_HOT_KEYS)
+            .collect()
+        )
+        if not hot:
+            return Blocks(keys, order_by)
+        hot_keys = tuple(Row(*row[:-1]) for row in hot)
+        sampled = sum(row["count"] for row in hot)
+        blocks = min(
+            math.ceil(2 * sampled / (max_rows * fraction)),
+            max(2, MAX_BLOCK_TOTALS // len(hot_keys)),
+            MAX_BLOCKS,
+        )
+        of_hot_keys = (
+            Blocks(keys, order_by, hot_keys).mark(sample).where(F.col(HOT).isNotNull())
+        )
+        thinned = of_hot_keys.select(*order_by).sample(
+            fraction=min(1.0, SAMPLES_PER_BLOCK * blocks / sampled), seed=1
+        )
+        in_order = (
+            thinned.orderBy(*order_by)
+            .select(F.to_json(F.struct(*order_by)))
+            .collect()
+        )
+    finally:
+        sample.unpersist()
+    step = max(1, len(in_order) // blocks)
+    cuts = [json.loads(text) for (text,) in in_order[step::step]]
+    cut_by, bounds = _leading(cuts, order_by)
+    return Blocks(keys, order_by, hot_keys, bounds, cut_by)
+
+
+def _leading(
+    cuts: Sequence[dict], order_by: tuple[str, ...]
+) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """The fewest leading order columns that tell the cuts apart."""
+    for length in range(1, len(order_by) + 1):
+        names = order_by[:length]
+        texts = [
+            json.dumps({name: cut[name] for name in names if name in cut})
+            for cut in cuts
+        ]
+        # A value that stands for many cuts would be one huge block.
+        repeats = max(Counter(texts).values(), default=0)
+        if length == len(order_by) or repeats <= 2:
+            return names, tuple(dict.fromkeys(texts))
+    return order_by, ()
 
 
 def _combine(how: str, earlier: Column, here: Column) -> Column:
@@ -234,7 +273,10 @@ def running(
 
 
 def nothing_carried(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
+    """No rows of ``schema``; the optimizer drops what is built on it."""
+    return df.limit(0).select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    )
 
 
 def with_carried(df: DataFrame, carried: DataFrame) -> DataFrame:

@@ -88,11 +88,17 @@ def _only_participants(
     last = len(stages) - 1
     position = F.struct(*order_by)
     blocks = plan_blocks(staged, keys, order_by, max_rows)
+
+    def cut(rows: DataFrame) -> DataFrame:
+        # With blocks a running aggregate reads its input twice, for the totals and
+        # for the rows; uncut, that would double with each of the steps below.
+        return rows.checkpoint() if blocks.split else rows
+
     rows = blocks.mark(staged)
     rows = rows.withColumn("_from_0", F.when(F.col(_flag(0)), position))
     for stage in range(1, last + 1):
         rows = running(
-            rows,
+            cut(rows),
             blocks,
             {"_reached": Running("max", F.col(f"_from_{stage - 1}"), strict=True)},
         )
@@ -102,7 +108,7 @@ def _only_participants(
     rows = rows.withColumn(f"_to_{last}", F.when(F.col(_flag(last)), position))
     for stage in range(last - 1, -1, -1):
         rows = running(
-            rows,
+            cut(rows),
             blocks,
             {"_reached": Running("min", F.col(f"_to_{stage + 1}"), strict=True)},
             backwards=True,

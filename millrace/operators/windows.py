@@ -13,10 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = "window"
-
-
-def _window(ts: str, duration: str, start_time: str | None) -> Column:
-    return F.window(F.col(ts), duration, startTime=start_time).alias(WINDOW)
+_START = "_window_start"
+_END = "_window_end"
 
 
 def tumbling(
@@ -29,14 +27,22 @@ def tumbling(
     start_time: str | None = None,
 ) -> DataFrame:
     """Aggregates per window and key, with ``window_start`` and ``window_end``."""
-    grouped = df.groupBy(_window(ts, duration, start_time), *keys).agg(
-        *[column.alias(name) for name, column in aggregates.items()]
-    )
+    window = F.window(F.col(ts), duration, startTime=start_time).alias(WINDOW)
+    named = [column.alias(name) for name, column in aggregates.items()]
+    if df.isStreaming:
+        # The watermark needs the window itself as grouping key.
+        grouped = df.groupBy(window, *keys).agg(*named)
+        start, end = F.col(f"{WINDOW}.start"), F.col(f"{WINDOW}.end")
+    else:
+        # One plain timestamp hashes and sorts faster than the pair.
+        start, end = F.col(_START), F.col(_END)
+        grouped = (
+            df.select("*", window)
+            .groupBy(F.col(f"{WINDOW}.start").alias(_START), *keys)
+            .agg(F.max(f"{WINDOW}.end").alias(_END), *named)
+        )
     return grouped.select(
-        F.col(f"{WINDOW}.start").alias("window_start"),
-        F.col(f"{WINDOW}.end").alias("window_end"),
-        *keys,
-        *aggregates,
+        start.alias("window_start"), end.alias("window_end"), *keys, *aggregates
     )
 
 

@@ -156,10 +156,38 @@ def test_one_value_of_the_first_order_column_is_spread(spark):
         "1 AS key", "timestamp'1970-01-01' AS ts", "id AS seq"
     )
     blocks = plan_blocks(df, ["key"], ["ts", "seq"], 50)
+    assert blocks.cut_by == ("ts", "seq")
     sizes = blocks.mark(df).groupBy(ordered.BLOCK).count().collect()
     assert max(row["count"] for row in sizes) <= 50
 
 
+def test_one_frequent_value_among_many_is_spread(spark):
+    df = spark.range(1000).selectExpr(
+        "1 AS key", "IF(id < 90, 0, id) AS at", "id AS seq"
+    )
+    blocks = plan_blocks(df, ["key"], ["at", "seq"], 20)
+    sizes = blocks.mark(df).groupBy(ordered.BLOCK).count().collect()
+    assert max(row["count"] for row in sizes) <= 20
+
+
+def test_sampled_detection_on_a_larger_table(spark):
+    """A third of the rows in one key, found from a sample of one row in twelve."""
+    df = spark.range(240_000).selectExpr(
+        "IF(id % 3 = 0, -1, id % 1000) AS key", "(id * 7919) % 240000 AS seq"
+    )
+    blocks = plan_blocks(df, ["key"], ["seq"], 5_000)
+    assert [row[0] for row in blocks.hot] == [-1]
+    marked = blocks.mark(df)
+    sizes = marked.where("key = -1").groupBy(ordered.BLOCK).count().collect()
+    assert max(row["count"] for row in sizes) <= 5_000
+    numbered = running(marked, blocks, {"n": Running("sum", F.lit(1))})
+    wrong = numbered.join(
+        changelog_count(df, ["key"], ["seq"]).where("is_add"), ["key", "seq"]
+    ).where("n <> cnt")
+    assert numbered.count() == 240_000
+    assert wrong.isEmpty()
+
+
 def brute_force(rows, within=None):
     matches = []
     for key, group in by_key(rows).items():
