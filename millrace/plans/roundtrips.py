@@ -21,31 +21,34 @@ from millrace.sources import catalog, files, jdbc, kafka
 
 JDBC_URL = "spark.millrace.jdbc.url"
 
+EVENT_COLUMNS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("value", T.DecimalType(10, 2)),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 ORDER_COLUMNS = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),
-        T.StructField("o_totalprice", T.DecimalType(18, 2)),
+        T.StructField("o_totalprice", T.DoubleType()),
         T.StructField("o_orderstatus", T.StringType()),
-        T.StructField("o_orderdate", T.TimestampNTZType()),
     ]
 )
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = tables.table(spark, sf_dir, "orders")
-    return orders.select(
-        *[F.col(field.name).cast(field.dataType) for field in ORDER_COLUMNS]
-    )
-
-
-def _price_as_double(df: DataFrame) -> DataFrame:
-    return df.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+def _cast(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(field.name).cast(field.dataType) for field in schema])
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    file_sink.write_csv(_orders(spark, sf_dir), path)
-    return _price_as_double(files.read_csv(spark, path, ORDER_COLUMNS))
+    file_sink.write_csv(_cast(tables.table(spark, sf_dir, "events"), EVENT_COLUMNS), path)
+    read = files.read_csv(spark, path, EVENT_COLUMNS)
+    return read.withColumn("value", F.col("value").cast("double"))
 
 
 def tab_csv_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +164,7 @@ def jdbc_options(spark: SparkSession) -> dict[str, str]:
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = jdbc_options(spark)
     name = f"orders_{uuid.uuid4().hex}"
-    orders = _price_as_double(_orders(spark, sf_dir)).drop("o_orderdate")
+    orders = _cast(tables.table(spark, sf_dir, "orders"), ORDER_COLUMNS)
     jdbc_sink.append(
         orders, options, name, column_types="o_orderstatus VARCHAR(8)"
     )
@@ -214,10 +217,9 @@ QUERIES = {
 
 ORACLES = {
     "csv_roundtrip": """
-        SELECT o_orderkey,
-               CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS o_totalprice,
-               o_orderstatus, o_orderdate
-        FROM orders""",
+        SELECT event_id, CAST(CAST(value AS DECIMAL(10, 2)) AS DOUBLE) AS value,
+               event_type, ts, props
+        FROM events""",
     "tab_csv_group_count": """
         SELECT o_orderpriority AS word, count(*) AS cnt
         FROM orders GROUP BY o_orderpriority""",
@@ -235,10 +237,7 @@ ORACLES = {
         SELECT event_type, CAST(sum(event_id) AS BIGINT) AS total
         FROM events GROUP BY event_type""",
     "jdbc_roundtrip": """
-        SELECT o_orderkey,
-               CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS o_totalprice,
-               o_orderstatus
-        FROM orders""",
+        SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders""",
     "jdbc_upsert_latest": """
         SELECT user_id, count(event_type) AS cnt FROM events GROUP BY user_id""",
 }

@@ -10,6 +10,7 @@ from millrace.streaming.run import start
 
 BUCKET_PATTERN = "yyyy-MM-dd--HH"
 ROLL_INTERVAL = "2 seconds"
+MICROS_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def write_text(
@@ -31,10 +32,11 @@ def write_csv(
     """Delimited files.  ``single_file`` is for small results: one task writes it all."""
     mode = "overwrite" if overwrite else "errorifexists"
     out = df.coalesce(1) if single_file else df
-    # Six digits, so that a timestamp survives the round trip.
-    out.write.mode(mode).csv(
-        path, sep=delimiter, timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS"
+    # Six digits, so that timestamps survive the round trip.
+    writer = out.write.mode(mode).options(
+        timestampFormat=MICROS_PATTERN, timestampNTZFormat=MICROS_PATTERN
     )
+    writer.csv(path, sep=delimiter)
 
 
 def rolling_text(
@@ -48,8 +50,9 @@ def rolling_text(
 ) -> StreamingQuery:
     """Streams lines into folders named by the hour of processing.
 
-    Each micro-batch closes its files, which readers of the folder see only after
-    the micro-batch is committed.  ``max_records_per_file`` rolls within one.
+    Each micro-batch closes its files, so ``interval`` is the roll-over time; readers
+    of the folder see them only after the micro-batch is committed.
+    ``max_records_per_file`` rolls within one by size.  File names are Spark's own.
     """
     bucket = F.date_format(F.current_timestamp(), BUCKET_PATTERN)
     writer = (

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names, row counts and time steps of the generated records.
 BOYS = ("boy-A", "boy-B", "boy-C", "boy-D", "boy-E")
 COUNTER_ROWS = 1001
 RECORD_ROWS = 1002

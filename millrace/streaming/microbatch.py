@@ -61,6 +61,11 @@ def _run(
     return start(writer, stream.sparkSession, checkpoint, interval=interval)
 
 
+def _only(stream: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns a step reads: a cached micro-batch holds no others."""
+    return stream.select(*dict.fromkeys(names))
+
+
 def run_changelog_count(
     stream: DataFrame,
     keys: Sequence[str],
@@ -80,7 +85,8 @@ def run_changelog_count(
         )
 
     schema = changelog.carried_schema(stream, keys)
-    return _run(stream, step, schema, out, checkpoint, interval)
+    needed = [*keys, *order_by, *([] if counted is None else [counted])]
+    return _run(_only(stream, needed), step, schema, out, checkpoint, interval)
 
 
 def run_count_windows(
@@ -108,7 +114,7 @@ def run_count_windows(
         )
 
     schema = countwindow.carried_schema(stream, keys)
-    return _run(stream, step, schema, out, checkpoint, interval)
+    return _run(_only(stream, [*keys, *order_by, value]), step, schema, out, checkpoint, interval)
 
 
 def run_pattern_matches(
@@ -131,12 +137,11 @@ def run_pattern_matches(
     row arriving later than ``lateness`` may find its partners gone.
     """
     ts = order_by[0]
-    kept_columns = list(dict.fromkeys([*keys, *order_by, *columns]))
     conditions = [
         F.coalesce(stage.condition, F.lit(False)).alias(f"_stage_{position}")
         for position, stage in enumerate(stages)
     ]
-    staged = stream.select(*kept_columns, *conditions)
+    staged = stream.select(*dict.fromkeys([*keys, *order_by, *columns]), *conditions)
     flags = [F.col(f"_stage_{position}") for position in range(len(stages))]
     horizon = f"INTERVAL {(within + lateness) // timedelta(microseconds=1)} MICROSECONDS"
 

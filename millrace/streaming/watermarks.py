@@ -72,7 +72,7 @@ def check_watermarks(query: StreamingQuery, least_distinct: int = 1) -> DataFram
     """The report, after checking that watermarks never went back and did advance.
 
     ``least_distinct`` is the number of different watermarks the query must have
-    shown by now.
+    shown by now; the first micro-batch shows the epoch.
     """
     report = audit_watermarks(query)
     if not watermark_violations(report).isEmpty():

@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     session = (
         session_builder("tests")
         .master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(base / "shared"))
