@@ -10,11 +10,13 @@ micro-batches, in order of arrival.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.pattern import Stage
 
+# Executors get the processors themselves and need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROW_LIMIT = 100_000
 
 

@@ -1,6 +1,8 @@
 """Streams: parity with the batch form, restarts, late rows, reports."""
 
 import itertools
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pytest
@@ -332,6 +334,23 @@ def test_pattern_steps_survive_restarts(spark, in_two_runs, max_rows):
     assert tuples(found) == tuples(matches_of(whole, within))
 
 
+def test_executors_need_no_installed_package(tmp_path):
+    from pyspark import cloudpickle
+
+    from millrace.streaming import stateful
+
+    pickled = cloudpickle.dumps(stateful._ChangelogCount(["k"], ["k"], ["k"], "cnt"))
+    code = "import pickle, sys; print(type(pickle.load(sys.stdin.buffer)).__name__)"
+    loaded = subprocess.run(
+        [sys.executable, "-c", code],
+        input=pickled,
+        cwd=tmp_path,
+        capture_output=True,
+        check=True,
+    )
+    assert loaded.stdout.strip() == b"_ChangelogCount"
+
+
 def test_long_chains_come_in_pieces(monkeypatch):
     import numpy as np
 
