@@ -38,8 +38,3 @@ def word_pieces(text: Column) -> Column:
 def char_at(code_point: Column) -> Column:
     """The character for a code point below 256."""
     return F.chr(code_point)
-
-
-def padded_text(template: str, *columns: Column) -> Column:
-    """printf-style formatting."""
-    return F.format_string(template, *columns)

@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 20_000_000
 # The hot keys and the blocks' totals are broadcast: these two bound their size.
+# Should more keys than that be above the limit, the largest are split, and any other
+# key holds less than one part in MAX_HOT_KEYS of the table.
 MAX_HOT_KEYS = 20_000
 MAX_BLOCK_TOTALS = 1_000_000
 MAX_BLOCKS = 8_192

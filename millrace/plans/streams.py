@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators import relational, windows
+from millrace.operators import parse, relational, windows
 from millrace.plans import batch, tables
 from millrace.session import scratch_path
 from millrace.sinks.files import rolling_text
@@ -35,7 +35,7 @@ from millrace.streaming.stateful import (
 from millrace.streaming.watermarks import check_watermarks, with_watermark
 
 # A key's share of one micro-batch meets in one task of the stateful operations.
-STATEFUL_BATCH = 1 << 30
+STATEFUL_BATCH = 1 << 28
 # The table steps split such a key, so a backlog may be worked off in large pieces.
 BACKLOG_BATCH = 1 << 40
 
@@ -243,7 +243,7 @@ def stateful_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = batch.click_lines(events_stream(spark, sf_dir))
-    clicks = batch.parse.parse_click_lines(lines, batch.BASE_DATE)
+    clicks = parse.parse_click_lines(lines, batch.BASE_DATE)
     return _ntz(appended(clicks, "parsed-lines"), "timestamp")
 
 

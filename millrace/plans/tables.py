@@ -10,13 +10,12 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "o_totalprice double, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, "
     "l_returnflag string, l_linestatus string",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "documents": "doc_id bigint, text string, lang string, source string",
-    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "customer": "c_custkey bigint, c_name string, c_acctbal double",
+    "supplier": "s_suppkey bigint, s_name string, s_acctbal double",
+    "documents": "doc_id bigint, text string",
 }
 
 

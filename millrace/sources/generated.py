@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.text import char_at
+
 # Names, row counts and time steps of the generated records.
 BOYS = ("boy-A", "boy-B", "boy-C", "boy-D", "boy-E")
 COUNTER_ROWS = 1001
 RECORD_ROWS = 1002
 COUNTER_STEP_MS = 2
 RECORD_STEP_MS = 5
+FIRST_KEY = ord("A")
+KEYS = 26
 
 # The multiplier and modulus of a well-known congruential generator.
 _MULTIPLIER = 48271
@@ -83,10 +87,10 @@ def with_random_record(
     number = F.col(id_column).cast("bigint")
     boys = F.array(*[F.lit(boy) for boy in BOYS])
     boy = _picked(number, seed, len(BOYS))
-    key = _picked(number, seed + 1_000_003, 26)
+    key = _picked(number, seed + 1_000_003, KEYS)
     return ids.select(
         F.element_at(boys, (boy + 1).cast("int")).alias("boy"),
-        F.chr(key + 65).alias("key"),
+        char_at(key + FIRST_KEY).alias("key"),
         F.timestamp_millis(number * RECORD_STEP_MS).alias("ts"),
         number.alias("seq"),
     )

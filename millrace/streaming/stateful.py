@@ -2,7 +2,9 @@
 
 A key's order is serial, so its rows of one micro-batch meet in one task.  Bound
 the micro-batch at the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
-and that task is bounded too.  The batch forms of these operations split hot keys.
+and that task is bounded too.  A pattern also keeps the key's rows within its bound,
+and loads them when the key arrives.  For keys too large for that, and for working
+off a backlog, use ``streaming.microbatch``, which splits hot keys.
 
 Within a micro-batch rows are taken in the order of ``order_by``; across
 micro-batches, in order of arrival.

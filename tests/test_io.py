@@ -319,11 +319,43 @@ def test_kafka_options():
     }
 
 
+def test_kafka_without_the_connector(spark, tmp_path):
+    client = {"bootstrap.servers": "localhost:1"}
+    records = kafka_sink.encode_json(spark.range(1))
+    stream = kafka_sink.encode_json(generated.stream_ids(spark, 1))
+    for attempt in (
+        lambda: kafka.read_topic(spark, "t", client),
+        lambda: kafka.stream_topic(spark, "t", client),
+        lambda: kafka_sink.write_topic(records, "t", client),
+        lambda: kafka_sink.stream_to_topic(stream, "t", client, str(tmp_path)),
+    ):
+        with pytest.raises(AnalysisException, match="(?i)kafka"):
+            attempt()
+
+
+def test_windows_from_table_to_table_in_sql(spark, catalog_database, tmp_path):
+    source = fixtures.prices_file(tmp_path)
+    catalog.create_table(spark, "src", schemas.PRICE, "csv", location=source)
+    sink = T.StructType.fromDDL(
+        "window_end timestamp, max_ts timestamp, counter bigint, total_price decimal(10,2)"
+    )
+    catalog.create_table(spark, "sink", sink, "csv")
+    spark.sql(
+        "INSERT INTO sink SELECT window.end, max(ts6), count(*), max(price)"
+        " FROM (SELECT *, date_trunc('millisecond', ts6) AS ts FROM src)"
+        " GROUP BY window(ts, '5 seconds')"
+    )
+    found = catalog.read_table(spark, "sink").select("counter", "total_price")
+    assert tuples(found) == [(2, Decimal("5.33")), (3, Decimal("50.00"))]
+
+
 def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
     schema = T.StructType.fromDDL("key string, ts timestamp")
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "a.csv").write_text("a,2024-01-01 00:00:00\na,2024-01-01 00:00:01\nb,2024-01-01 00:00:02\n")
+    (folder / "a.csv").write_text(
+        "a,2024-01-01 00:00:00\na,2024-01-01 00:00:01\nb,2024-01-01 00:00:02\n"
+    )
     stream = files.stream_csv(spark, str(folder), schema)
     once = kafka_sink.once_per_key(stream, "ts", "1 minute", ["key"])
     from millrace.streaming.run import appended

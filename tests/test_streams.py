@@ -131,6 +131,18 @@ def test_too_few_watermarks(spark, tmp_path):
         check_watermarks(query, least_distinct=1)
 
 
+def test_watermarks_advance_with_the_micro_batches(spark, tmp_path):
+    for number in range(3):
+        lines = [f"Bob 1{number}:00:00 /a"]
+        write_lines(tmp_path / "in", f"{number}.txt", lines)
+    clicks = with_watermark(click_stream(spark, tmp_path / "in", 1), "timestamp")
+    counts = windows.tumbling_count(clicks, "timestamp", "1 hour", ["user"])
+    query = run_append(counts, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    report = check_watermarks(query, least_distinct=3)
+    assert report.agg(F.max("watermark")).first()[0] == datetime(2020, 12, 16, 12)
+
+
 def test_running_count_updates(spark, tmp_path):
     write_lines(tmp_path / "in", "a.txt", fixtures.CLICK_LINES[:6])
     write_lines(tmp_path / "in", "b.txt", fixtures.CLICK_LINES[6:])

@@ -117,9 +117,25 @@ def test_arg_max_of_generated_records(spark):
         if best is None or row["key"] > best["key"]:
             expected[start] = row
     assert len(expected) == 6
-    assert {row["window_start"]: (row["key"], row["seq"], row["boy"]) for row in found.collect()} == {
-        start: (row["key"], row["seq"], row["boy"]) for start, row in expected.items()
-    }
+    assert tuples(found, "window_start", "key", "seq", "boy") == sorted(
+        [
+            (start, row["key"], row["seq"], row["boy"])
+            for start, row in expected.items()
+        ],
+        key=repr,
+    )
+
+
+def test_byte_diffs_per_user_and_window(spark):
+    at = [datetime(2024, 1, 1, 0, 0, second) for second in (0, 4, 5, 1)]
+    rows = [("a", 10, at[0]), ("a", -25, at[1]), ("a", 7, at[2]), ("b", -1, at[3])]
+    df = generated.rows(spark, rows, schemas.EDIT)
+    found = windows.tumbling(df, "ts", "5 seconds", ["user"], {"diff": F.sum("byte_diff")})
+    assert tuples(found, "user", "window_start", "diff") == [
+        ("a", at[0], -15),
+        ("a", at[2], 7),
+        ("b", at[0], -1),
+    ]
 
 
 def test_keyed_arg_max_ties_keep_the_earlier_row(spark):
@@ -149,6 +165,8 @@ def test_generators(spark):
     assert records.select("key").distinct().count() == 26
     assert records.select("boy").distinct().count() == 5
     assert tuples(records) == tuples(generated.random_records(spark, seed=1))
+    kinds = {field.name: field.dataType for field in schemas.KEY_RECORD}
+    assert {field.name: field.dataType for field in records.schema} == kinds
     assert tuples(records) != tuples(generated.random_records(spark, seed=2))
 
 
