@@ -1,4 +1,4 @@
-"""Row-at-a-time user functions, applied to Arrow batches.
+"""Row-at-a-time user functions and aggregates, applied to Arrow batches.
 
 For logic the built-in column functions cannot express; prefer those, they stay
 inside generated code.
@@ -6,7 +6,8 @@ inside generated code.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import pickle
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -14,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+ROWS_PER_BATCH = 10_000
+OPEN_ACCUMULATORS = 50_000
+
 
 def flat_map_rows(
     df: DataFrame,
@@ -43,3 +47,82 @@ def map_rows(
 ) -> DataFrame:
     """Exactly one output row per input row."""
     return flat_map_rows(df, lambda record: (function(record),), schema)
+
+
+def aggregate_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    create: Callable[[], Any],
+    add: Callable[[Any, dict[str, Any]], Any],
+    merge: Callable[[Any, Any], Any],
+    result: Callable[[tuple, Any], tuple],
+    schema: T.StructType,
+    *,
+    open_accumulators: int = OPEN_ACCUMULATORS,
+) -> DataFrame:
+    """A user-defined aggregate with accumulators that can be merged.
+
+    Each task first folds its own rows with ``add``; only accumulators cross the
+    shuffle, where those of a key arrive one after the other and are merged on the
+    way.  A task holds at most ``open_accumulators`` of them, and no group of rows.
+    ``result`` turns a key and its accumulator into an output row.
+
+    To aggregate per window, make the window's bounds key columns.
+    """
+    keys = list(keys)
+    key_schema = df.select(*keys).schema
+    partial_schema = T.StructType(
+        [*key_schema.fields, T.StructField("_accumulator", T.BinaryType())]
+    )
+
+    def batches_of(
+        records: Iterator[tuple], fields: T.StructType
+    ) -> Iterator[pa.RecordBatch]:
+        names, arrow_schema = fields.names, to_arrow_schema(fields)
+        waiting = []
+        for record in records:
+            waiting.append(dict(zip(names, record)))
+            if len(waiting) == ROWS_PER_BATCH:
+                yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
+                waiting = []
+        yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def accumulators() -> Iterator[tuple]:
+            found: dict[Hashable, Any] = {}
+            for batch in batches:
+                for record in batch.to_pylist():
+                    key = tuple(record[name] for name in keys)
+                    so_far = found[key] if key in found else create()
+                    found[key] = add(so_far, record)
+                    if len(found) == open_accumulators:
+                        yield from packed(found)
+                        found = {}
+            yield from packed(found)
+
+        def packed(found: dict) -> Iterator[tuple]:
+            return ((*key, pickle.dumps(value)) for key, value in found.items())
+
+        return batches_of(accumulators(), partial_schema)
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def results() -> Iterator[tuple]:
+            current, merged = None, None
+            for batch in batches:
+                for record in batch.to_pylist():
+                    key = tuple(record[name] for name in keys)
+                    value = pickle.loads(record["_accumulator"])
+                    if key == current:
+                        merged = merge(merged, value)
+                        continue
+                    if current is not None:
+                        yield result(current, merged)
+                    current, merged = key, value
+            if current is not None:
+                yield result(current, merged)
+
+        return batches_of(results(), schema)
+
+    partial = df.mapInArrow(fold, partial_schema)
+    by_key = partial.repartition(*keys).sortWithinPartitions(*keys)
+    return by_key.mapInArrow(combine, schema)

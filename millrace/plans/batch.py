@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import render, text, times
-from millrace.operators import parse, relational, windows
+from millrace.operators import parse, relational, rows, windows
 from millrace.operators.changelog import changelog_count
 from millrace.operators.countwindow import count_windows
 from millrace.operators.pattern import (
@@ -110,6 +112,45 @@ def edit_size_user_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed.select(F.col("window.end").alias("window_end"), "user_id", "byte_diff")
 
 
+def edit_size_user_defined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sums per hour, by an aggregate written in Python."""
+    rows_in = edits(table(spark, sf_dir, "events"))
+    window = F.window("ts", "1 hour")
+    keyed = rows_in.select(
+        window.start.alias("window_start"), "user_id", "byte_diff"
+    )
+    schema = keyed.select("window_start", "user_id").schema.add("diff", T.LongType())
+    return rows.aggregate_rows(
+        keyed,
+        ["window_start", "user_id"],
+        lambda: 0,
+        lambda total, row: total + row["byte_diff"],
+        lambda a, b: a + b,
+        lambda key, total: (*key, total),
+        schema,
+    )
+
+
+def props_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and values of the JSON text, by a row function written in Python."""
+    events = table(spark, sf_dir, "events").select("event_id", "props")
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("name", T.StringType()),
+            T.StructField("number", T.LongType()),
+        ]
+    )
+
+    def pairs(row: dict) -> list[tuple]:
+        return [
+            (row["event_id"], name, number)
+            for name, number in json.loads(row["props"]).items()
+        ]
+
+    return rows.flat_map_rows(events, pairs, schema)
+
+
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = parse.explode_words(table(spark, sf_dir, "documents"), "text")
     return relational.grouped_count(words, ["word"], "frequency")
@@ -337,6 +378,8 @@ QUERIES = {
         window_argmax_1h,
         window_argmax_user_1d,
         edit_size_user_5s,
+        edit_size_user_defined,
+        props_by_row,
         word_count,
         space_token_sum,
         grouped_sum,
@@ -438,6 +481,14 @@ ORACLES = {
                user_id, CAST(sum(CAST(floor(value) AS BIGINT) - 50) AS BIGINT)
                  AS byte_diff
         FROM events GROUP BY ALL""",
+    "edit_size_user_defined": """
+        SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, user_id,
+               CAST(sum(CAST(floor(value) AS BIGINT) - 50) AS BIGINT) AS diff
+        FROM events GROUP BY ALL""",
+    "props_by_row": """
+        SELECT event_id, 'k' AS name,
+               CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS number
+        FROM events""",
     "word_count": r"""
         SELECT word, count(*) AS frequency
         FROM (SELECT unnest(regexp_split_to_array(lower(text), '\W+')) AS word

@@ -11,6 +11,10 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+SHUFFLE_PARTITION_BYTES = 256 << 20
+MIN_PARTITIONS = 8
+MAX_PARTITIONS = 100_000
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,14 +27,31 @@ DEFAULTS = {
 }
 
 
-def session_builder(app_name: str) -> SparkSession.Builder:
-    """A builder carrying the library's defaults; master and sizing stay the caller's."""
+def session_builder(
+    app_name: str, input_bytes: int | None = None
+) -> SparkSession.Builder:
+    """A builder carrying the library's defaults; the master stays the caller's.
+
+    ``input_bytes``, the size of the largest shuffled input, sets the number of
+    shuffle partitions.  Adaptive execution joins small ones but adds none, so the
+    number has to fit the largest shuffle.  A stream keeps the number it first ran
+    with: size it by its micro-batches.
+    """
     builder = SparkSession.builder.appName(app_name)
     for name, value in DEFAULTS.items():
         builder = builder.config(name, value)
+    if input_bytes is not None:
+        partitions = shuffle_partitions(input_bytes)
+        builder = builder.config("spark.sql.shuffle.partitions", partitions)
     return builder
 
 
+def shuffle_partitions(input_bytes: int) -> int:
+    """Enough partitions that one sorts in memory, within what a driver can track."""
+    needed = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    return min(max(needed, MIN_PARTITIONS), MAX_PARTITIONS)
+
+
 def is_local(spark: SparkSession) -> bool:
     """True when every task runs inside the driver's own process."""
     master = spark.sparkContext.master

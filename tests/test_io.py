@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.operators import relational
-from millrace.session import checkpoint_root, is_local, scratch_path
+from millrace.session import checkpoint_root, is_local, scratch_path, shuffle_partitions
 from millrace.sinks import catalog as catalog_sink
 from millrace.sinks import files as file_sink
 from millrace.sinks import jdbc as jdbc_sink
@@ -363,6 +363,13 @@ def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
     assert tuples(appended(once, "once"), "key") == [("a",), ("b",)]
 
 
+def test_shuffle_partitions_follow_the_input():
+    assert shuffle_partitions(0) == 8
+    assert shuffle_partitions(10 << 30) == 40
+    assert shuffle_partitions((10 << 30) + 1) == 41
+    assert shuffle_partitions(100 << 40) == 100_000
+
+
 def test_scratch_folder_is_the_configured_one(spark):
     assert is_local(spark)
     root = spark.conf.get("spark.checkpoint.dir")

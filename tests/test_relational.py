@@ -221,6 +221,52 @@ def test_rendering(spark):
     )
 
 
+@pytest.mark.parametrize("open_accumulators", [2, 50_000])
+def test_user_defined_aggregate(spark, open_accumulators):
+    """The mean of the text lengths, as a total and a count; one key has most rows."""
+    df = spark.range(3000).selectExpr(
+        "IF(id % 3 > 0, 'hot', IF(id % 7 = 0, NULL, concat('k', id % 50))) AS key",
+        "repeat('x', CAST(id % 11 AS INT)) AS text",
+    )
+    schema = T.StructType(
+        [
+            T.StructField("key", T.StringType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("mean", T.DoubleType()),
+        ]
+    )
+    found = rows.aggregate_rows(
+        df.repartition(5),
+        ["key"],
+        lambda: (0, 0),
+        lambda acc, row: (acc[0] + len(row["text"]), acc[1] + 1),
+        lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        lambda key, acc: (*key, acc[1], acc[0] / acc[1]),
+        schema,
+        open_accumulators=open_accumulators,
+    )
+    expected = df.groupBy("key").agg(F.count("text"), F.avg(F.length("text")))
+    assert tuples(found) == tuples(expected)
+
+
+def test_user_defined_aggregate_per_window(spark):
+    df = spark.createDataFrame(
+        [("a", 0, 5), ("a", 4, -7), ("a", 6, 1), ("b", 1, 2)], "user string, s int, d int"
+    ).withColumn("start", F.window(F.timestamp_seconds("s"), "5 seconds").start)
+    schema = T.StructType.fromDDL("start timestamp, user string, total bigint")
+    found = rows.aggregate_rows(
+        df,
+        ["start", "user"],
+        lambda: 0,
+        lambda acc, row: acc + row["d"],
+        lambda a, b: a + b,
+        lambda key, acc: (*key, acc),
+        schema,
+    )
+    expected = df.groupBy("start", "user").agg(F.sum("d").alias("total"))
+    assert tuples(found) == tuples(expected)
+
+
 def test_row_functions(spark):
     schema = T.StructType(
         [T.StructField("word", T.StringType()), T.StructField("n", T.IntegerType())]
