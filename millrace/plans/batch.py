@@ -102,9 +102,8 @@ def window_argmax_user_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edit_size_user_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = edits(table(spark, sf_dir, "events"))
     summed = relational.incremental_aggregate(
-        rows,
+        edits(table(spark, sf_dir, "events")),
         [F.window("ts", "5 seconds").alias("window"), "user_id"],
         {"diff": F.sum("byte_diff")},
         {"byte_diff": F.col("diff")},
@@ -114,10 +113,8 @@ def edit_size_user_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edit_size_user_defined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same sums per hour, by an aggregate written in Python."""
-    rows_in = edits(table(spark, sf_dir, "events"))
-    window = F.window("ts", "1 hour")
-    keyed = rows_in.select(
-        window.start.alias("window_start"), "user_id", "byte_diff"
+    keyed = edits(table(spark, sf_dir, "events")).select(
+        F.window("ts", "1 hour").start.alias("window_start"), "user_id", "byte_diff"
     )
     schema = keyed.select("window_start", "user_id").schema.add("diff", T.LongType())
     return rows.aggregate_rows(

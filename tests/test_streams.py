@@ -6,7 +6,7 @@ import sys
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -346,6 +346,40 @@ def test_pattern_steps_survive_restarts(spark, in_two_runs, max_rows):
     assert tuples(found) == tuples(matches_of(whole, within))
 
 
+def test_a_failed_micro_batch_is_repeated(spark, in_two_runs, monkeypatch):
+    """The second run fails after writing its result and before carrying its state."""
+    whole, run = in_two_runs
+    step = microbatch.changelog.changelog_count_step
+    attempts = []
+
+    def failing_once(rows, before, *args, **options):
+        attempts.append(rows)
+        result, after = step(rows, before, *args, **options)
+        if len(attempts) == 2:
+            broken = F.raise_error(F.lit("lost")).cast("bigint")
+            after = after.withColumn("_step", broken)
+        return result, after
+
+    monkeypatch.setattr(microbatch.changelog, "changelog_count_step", failing_once)
+
+    class Tolerant:
+        def __init__(self, stream, out, checkpoint):
+            self.query = microbatch.run_changelog_count(
+                stream, ["key"], ["seq"], None, out, checkpoint
+            )
+
+        def awaitTermination(self):
+            try:
+                self.query.awaitTermination()
+            except StreamingQueryException as failure:
+                assert "lost" in str(failure)
+
+    out = run(Tolerant)
+    assert len(attempts) == 4
+    expected = changelog_count(whole, ["key"], ["seq"])
+    assert tuples(all_batches(spark, out, expected.schema)) == tuples(expected)
+
+
 def test_executors_need_no_installed_package(tmp_path):
     from pyspark import cloudpickle
 
