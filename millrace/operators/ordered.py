@@ -30,12 +30,13 @@ DEFAULT_MAX_ROWS = 20_000_000
 # key holds less than one part in MAX_HOT_KEYS of the table.
 MAX_HOT_KEYS = 20_000
 MAX_BLOCK_TOTALS = 1_000_000
-MAX_BLOCKS = 8_192
-SAMPLES_PER_BLOCK = 25
+MAX_PIECES = 8_192
+SAMPLES_PER_PIECE = 25
 HITS_AT_LIMIT = 400
 
 HOT = "_hot"
 BLOCK = "_block"
+_STRIDE = "_stride"
 _CARRY_HOT = "_carry_hot"
 _CARRY_BLOCK = "_carry_block"
 
@@ -57,6 +58,8 @@ class Running:
 class Blocks:
     """How the rows of a frame are split: nothing to split when ``hot`` is empty.
 
+    All hot keys share the cuts; ``strides`` says for each how many neighbouring
+    pieces make one block, so that a smaller key gets fewer blocks.
     ``bounds`` are values of the leading order columns ``cut_by``, as JSON.  A bound
     may lose digits on the way, which moves the cut and changes nothing else.
     """
@@ -64,6 +67,7 @@ class Blocks:
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
     hot: tuple[Row, ...] = ()
+    strides: tuple[int, ...] = ()
     bounds: tuple[str, ...] = ()
     cut_by: tuple[str, ...] = ()
 
@@ -79,20 +83,25 @@ class Blocks:
         """Adds the hot key number (null for ordinary keys) and the block number."""
         if not self.split:
             return df
-        hot_schema = df.select(*self.keys).schema.add(HOT, T.IntegerType())
+        hot_schema = df.select(*self.keys).schema
+        for name in (HOT, _STRIDE):
+            hot_schema = hot_schema.add(name, T.IntegerType())
         hot = df.sparkSession.createDataFrame(
-            [(*row, number) for number, row in enumerate(self.hot)], hot_schema
+            [
+                (*row, number, stride)
+                for number, (row, stride) in enumerate(zip(self.hot, self.strides))
+            ],
+            hot_schema,
         )
-        renamed = hot.toDF(*[f"_hot_{key}" for key in self.keys], HOT)
+        renamed = hot.toDF(*[f"_hot_{key}" for key in self.keys], HOT, _STRIDE)
         same_key = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in self.keys]
-        marked = df.join(F.broadcast(renamed), same_key, "left").drop(
-            *[f"_hot_{key}" for key in self.keys]
-        )
+        marked = df.join(F.broadcast(renamed), same_key, "left")
+        block = F.call_function("div", self._piece_of(df), F.col(_STRIDE)).cast("int")
         return marked.withColumn(
-            BLOCK, F.when(F.col(HOT).isNotNull(), self._block_of(df)).otherwise(0)
-        )
+            BLOCK, F.when(F.col(HOT).isNotNull(), block).otherwise(0)
+        ).drop(*[f"_hot_{key}" for key in self.keys], _STRIDE)
 
-    def _block_of(self, df: DataFrame) -> Column:
+    def _piece_of(self, df: DataFrame) -> Column:
         """Number of bounds at or below the row: a binary search over a literal array."""
         if not self.bounds:
             return F.lit(0)
@@ -144,17 +153,21 @@ def plan_blocks(
         if not hot:
             return Blocks(keys, order_by)
         hot_keys = tuple(Row(*row[:-1]) for row in hot)
-        sampled = sum(row["count"] for row in hot)
-        blocks = min(
-            math.ceil(2 * sampled / (max_rows * fraction)),
-            max(2, MAX_BLOCK_TOTALS // len(hot_keys)),
-            MAX_BLOCKS,
+        counts = [row[-1] for row in hot]
+        sampled = sum(counts)
+        # Blocks aim at half the limit; a key gets at most four per limit and one more.
+        limit = max(
+            max_rows * fraction, 4 * sampled / (MAX_BLOCK_TOTALS - MAX_HOT_KEYS)
         )
+        pieces = min(math.ceil(2 * sampled / limit), MAX_PIECES)
+        strides = tuple(max(1, int(pieces * limit / (2 * n))) for n in counts)
         of_hot_keys = (
-            Blocks(keys, order_by, hot_keys).mark(sample).where(F.col(HOT).isNotNull())
+            Blocks(keys, order_by, hot_keys, strides)
+            .mark(sample)
+            .where(F.col(HOT).isNotNull())
         )
         thinned = of_hot_keys.select(*order_by).sample(
-            fraction=min(1.0, SAMPLES_PER_BLOCK * blocks / sampled), seed=1
+            fraction=min(1.0, SAMPLES_PER_PIECE * pieces / sampled), seed=1
         )
         in_order = (
             thinned.orderBy(*order_by)
@@ -163,10 +176,10 @@ def plan_blocks(
         )
     finally:
         sample.unpersist()
-    step = max(1, len(in_order) // blocks)
+    step = max(1, len(in_order) // pieces)
     cuts = [json.loads(text) for (text,) in in_order[step::step]]
     cut_by, bounds = _leading(cuts, order_by)
-    return Blocks(keys, order_by, hot_keys, bounds, cut_by)
+    return Blocks(keys, order_by, hot_keys, strides, bounds, cut_by)
 
 
 def _leading(

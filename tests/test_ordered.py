@@ -188,6 +188,26 @@ def test_sampled_detection_on_a_larger_table(spark):
     assert wrong.isEmpty()
 
 
+def test_smaller_hot_keys_get_fewer_blocks(spark):
+    """One key with a third of the rows beside many keys just above the limit."""
+    df = spark.range(30_000).selectExpr(
+        "IF(id % 3 = 0, -1, id % 100) AS key", "(id * 7919) % 30000 AS seq"
+    )
+    blocks = plan_blocks(df, ["key"], ["seq"], 150)
+    marked = blocks.mark(df)
+    sizes = marked.groupBy("key", ordered.BLOCK).count()
+    blocks_of = sizes.groupBy("key").agg(F.count("*").alias("n")).collect()
+    per_key = {row["key"]: row["n"] for row in blocks_of}
+    assert len(blocks.hot) == len(per_key)
+    assert per_key.pop(-1) > 60
+    assert max(per_key.values()) <= 5
+    assert sizes.agg(F.max("count")).first()[0] <= 300
+    numbered = running(marked, blocks, {"n": Running("sum", F.lit(1))})
+    whole = changelog_count(df, ["key"], ["seq"]).where("is_add")
+    assert numbered.join(whole, ["key", "seq"]).where("n <> cnt").isEmpty()
+    assert numbered.count() == 30_000
+
+
 def brute_force(rows, within=None):
     matches = []
     for key, group in by_key(rows).items():
