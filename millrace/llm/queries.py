@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, licenses, mixing
+from millrace.llm import chat, decontaminate, jaccard, licenses, mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ HAVING 10 * count(*) >= 8 * n_item
 """
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_documents(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.templates(spark))
     base = F.filter("spans", lambda s: s["base"])
@@ -122,6 +127,7 @@ FROM placed GROUP BY conv_id
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
+    "op4_jaccard_join": op4_jaccard_join,
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
 }
