@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, licenses, mixing
+from millrace.llm import chat, decontaminate, jaccard, licenses, mixing, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,11 +124,16 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removal_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
     "op4_jaccard_join": op4_jaccard_join,
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {"op2_decontaminate": OP2_SQL, "op9_chat": OP9_SQL}
