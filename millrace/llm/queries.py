@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, licenses, mixing, suffix
+from millrace.llm import chat, decontaminate, jaccard, licenses, mixing, ordinal, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ordinal.rate(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id",
+        F.col("_expected").alias("expected_grade"),
+        F.col("_tail").alias("tail_probability"),
+        (F.col("_tail") >= 0.5).alias("keep"),
+    )
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.templates(spark))
     base = F.filter("spans", lambda s: s["base"])
@@ -132,6 +142,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
     "op4_jaccard_join": op4_jaccard_join,
+    "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
     "op10_suffix_dedup": op10_suffix_dedup,

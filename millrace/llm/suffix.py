@@ -20,14 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import tokens
-from millrace.llm.text import cut_lineage
+from millrace.llm.text import cut_lineage, small
 
 LENGTH = 200
 GRAM = 32
 PLACE_BITS = 24
 PIECE_BYTES = 8 << 20
 SHARD_BYTES = 4 << 20
-BROADCAST_ROWS = 200_000
 FIRST_BYTES = 8
 
 
@@ -275,11 +274,6 @@ def _compare_extracts(length: int):
     return run
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast only if its checked number of rows allows; else the join shuffles."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``text_key, spans``: byte spans of each text that lie in repeated runs.
 
@@ -305,7 +299,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .agg(F.collect_list(F.struct("anchor", "extract", "place.first", "place.runs")).alias("wanted"))
     )
     bodies = (
-        docs.join(_small(wanted), "text_key")
+        docs.join(small(wanted), "text_key")
         .select("text", "wanted")
         .mapInArrow(_cut_extracts(length), "anchor long, extract long, body binary")
         .dropDuplicates(["anchor", "extract"])
@@ -369,7 +363,7 @@ def _cut_text(length: int, names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts, stays = batch["text"].to_pylist(), [True] * len(batch)
             for k, spans in enumerate(batch["spans"].to_pylist()):
                 if spans:
                     body = texts[k].encode()
@@ -382,9 +376,9 @@ def _cut_text(length: int, names: list[str]):
                         parts.append(body[at:a])
                         at = b
                     texts[k] = b"".join([*parts, body[at:]]).decode()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, batch.schema.field("text").type) if n == "text" else batch[n] for n in names], names
-            )
+                    stays[k] = bool(texts[k].strip()) or not body.strip()
+            columns = [pa.array(texts, batch.schema.field("text").type) if n == "text" else batch[n] for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(stays, pa.bool_()))
 
     return run
 
@@ -392,7 +386,7 @@ def _cut_text(length: int, names: list[str]):
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
     keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     spans = cut_lineage(repeated_spans(keyed.select("text_key", "text"), length))
-    return keyed.join(_small(spans), "text_key", "left")
+    return keyed.join(small(spans), "text_key", "left")
 
 
 def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -409,6 +403,9 @@ def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated runs cut out of ``text``; columns and rows as they were."""
+    """``docs`` with repeated runs cut out of ``text``; rows left without text go.
+
+    Spans shrink to whole characters.  Other columns are as they were.
+    """
     marked = _with_spans(docs, length).select(*docs.columns, "spans")
     return marked.mapInArrow(_cut_text(length, docs.columns), docs.schema)

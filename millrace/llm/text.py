@@ -50,6 +50,14 @@ def any_lower(text: Column) -> Column:
     return F.lower(text)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast only if the checked number of rows allows; else a join shuffles."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once a row.
 
