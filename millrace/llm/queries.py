@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, licenses, mixing, ordinal, suffix
+from millrace.llm import blockknn, chat, decontaminate, jaccard, langid, licenses, mixing, ordinal, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,41 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def _in_fold(modulus: int, value: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == value
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_in_fold(5, 0), F.lit(False))
+    languages, model = langid.train(docs.where(~held_out).select("lang", "text"))
+    return langid.identify(docs, languages, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockknn.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP6_SQL = r"""
+WITH rows AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+    sqrt(list_sum(list_transform(list_zip(q.v, r.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  FROM rows q JOIN rows r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ordinal.rate(docs, table(spark, sf_dir, "labels")).select(
@@ -142,9 +177,11 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_language": op5_language,
+    "op6_neighbours": op6_neighbours,
     "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-ORACLES = {"op2_decontaminate": OP2_SQL, "op9_chat": OP9_SQL}
+ORACLES = {"op2_decontaminate": OP2_SQL, "op6_neighbours": OP6_SQL, "op9_chat": OP9_SQL}
