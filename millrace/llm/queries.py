@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blockknn, chat, decontaminate, jaccard, langid, licenses, mixing, ordinal, suffix
+from millrace.llm import blockknn, chat, decontaminate, jaccard, langid, licenses, mixing, mixlm, ordinal, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,15 @@ def _in_fold(modulus: int, value: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == value
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixer learns from the training documents of fold 3."""
+    return mixlm.score(
+        table(spark, sf_dir, "documents"),
+        F.coalesce(_in_fold(7, 2), F.lit(False)),
+        F.coalesce(_in_fold(7, 3), F.lit(False)),
+    )
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(_in_fold(5, 0), F.lit(False))
@@ -176,6 +185,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lm_score": op3_lm_score,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_language": op5_language,
     "op6_neighbours": op6_neighbours,
