@@ -26,7 +26,7 @@ LENGTH = 200
 GRAM = 32
 PLACE_BITS = 24
 PIECE_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 FIRST_BYTES = 8
 
 
