@@ -77,10 +77,12 @@ def _bits(key: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return keys, counts
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.add.reduceat(counts, first)
 
 
 class Counter:
