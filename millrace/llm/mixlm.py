@@ -1,8 +1,8 @@
 """A language model that mixes hashed-context bit predictors.
 
 Text is its words, A-Z lower-cased, each followed by a blank, then an end sign.  Every byte
-is eight binary decisions.  For each number of preceding bytes (0 to ``MOST_ORDER``) a hashed
-table of counts predicts the next bit; a mixer adds the predictions in the logistic domain,
+is eight binary decisions.  For each number of preceding bytes (0 to ``MOST_ORDER``), and for
+the word so far within them, a hashed table of counts predicts the next bit; a mixer adds the predictions in the logistic domain,
 with weights chosen by how long a context was seen before and by the bit's place, learned
 online; a last table, adapted to what the mixer got right, refines the result.
 
@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 from millrace.llm import tokens
 from millrace.llm.text import cut_lineage
 
-MOST_ORDER = 5
-ORDERS = MOST_ORDER + 1
-SLOT_BITS = 21
+MOST_ORDER = 6
+ORDERS = MOST_ORDER + 2
+SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 BLOCK = 1 << 15
 HELD_GRAMS = 4_000_000
-LEARN_AT_ONCE = 2048
-LEARNING_RATE = 0.02
+LEARN_AT_ONCE = 1024
+LEARNING_RATE = 0.5
+PASSES = 3
 REFINE_STEPS = 33
 HOT_WORDS = 1 << 17
 CHUNK = 4 << 20
@@ -55,7 +56,7 @@ def grams(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Each byte with up to ``MOST_ORDER`` before it in its row, the byte itself lowest."""
     place = np.arange(len(text)) - np.repeat(begin[:-1], np.diff(begin))
     key = text.astype(np.uint64)
-    for back in range(1, ORDERS):
+    for back in range(1, MOST_ORDER + 1):
         before = np.zeros(len(text), np.uint64)
         before[back:] = text[:-back]
         before[place < back] = 0
@@ -63,10 +64,22 @@ def grams(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return key
 
 
-def _slots(key: np.ndarray, order: int, node: np.ndarray) -> np.ndarray:
-    context = (key >> np.uint64(8)) & np.uint64((1 << (8 * order)) - 1)
-    h = (context * np.uint64(8) + np.uint64(order)) * np.uint64(256) + node.astype(np.uint64)
-    return (tokens.mixed(h) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def contexts(key: np.ndarray) -> list[np.ndarray]:
+    """Hashes of what each predictor looks at: the last 0, 1, ... bytes, and the word so far."""
+    before = key >> np.uint64(8)
+    found = [before & np.uint64((1 << (8 * order)) - 1) for order in range(MOST_ORDER + 1)]
+    word, inside = np.zeros(len(key), np.uint64), np.ones(len(key), bool)
+    for back in range(MOST_ORDER):
+        byte = (before >> np.uint64(8 * back)) & np.uint64(255)
+        inside = inside & (byte > 32)
+        word[inside] |= byte[inside] << np.uint64(8 * back)
+    found.append(word)
+    return [tokens.mixed(c * np.uint64(16) + np.uint64(k)) for k, c in enumerate(found)]
+
+
+def _slots(context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    h = (context + node.astype(np.uint64) * np.uint64(tokens.BASE)) * np.uint64(0x81DADEF4BC2DD44D)
+    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _bits(key: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -162,11 +175,10 @@ def _bit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
         if not len(key):
             continue
-        for order in range(ORDERS):
-            counts = np.zeros(2 * SLOTS)
+        for order, context in enumerate(contexts(key)):
+            counts = np.zeros(2 * SLOTS, np.int64)
             for _, node, bit in _bits(key):
-                counts += np.bincount(2 * _slots(key, order, node) + bit, n, 2 * SLOTS)
-            counts = counts.astype(np.int64)
+                np.add.at(counts, 2 * _slots(context, node) + bit, n)
             for block in range(2 * SLOTS // BLOCK):
                 some = counts[block * BLOCK : (block + 1) * BLOCK]
                 if some.any():
@@ -208,14 +220,14 @@ class Model:
 
     def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None):
         self.tables = tables
-        self.weights = np.full((8 * (ORDERS + 1), ORDERS), 0.3) if weights is None else weights
+        self.weights = np.full((8 * (MOST_ORDER + 2), ORDERS), 0.3) if weights is None else weights
         self.refine = refine
 
-    def inputs(self, key: np.ndarray, place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, seen: list[np.ndarray], place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Predictions of each order, and the gate: longest known context and bit place."""
-        found = np.stack([self.tables[o][_slots(key, o, node)] for o in range(ORDERS)], axis=1)
+        found = np.stack([table[_slots(context, node)] for table, context in zip(self.tables, seen)], axis=1)
         known = found > -128
-        longest = np.where(known.any(axis=1), ORDERS - np.argmax(known[:, ::-1], axis=1), 0)
+        longest = known[:, : MOST_ORDER + 1].sum(axis=1)
         return np.where(known, found, 0) / 16.0, longest * 8 + place
 
     def mix(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
@@ -223,10 +235,11 @@ class Model:
 
     def learn(self, key: np.ndarray, n: np.ndarray) -> None:
         """Online: predicts some bits, then moves the weights of their gates."""
-        for at in range(0, len(key), LEARN_AT_ONCE):
+        for at in [*range(0, len(key), LEARN_AT_ONCE)] * PASSES:
             some, count = key[at : at + LEARN_AT_ONCE], n[at : at + LEARN_AT_ONCE].astype(float)
+            context = contexts(some)
             for place, node, bit in _bits(some):
-                inputs, gate = self.inputs(some, place, node)
+                inputs, gate = self.inputs(context, place, node)
                 miss = (bit - 1 / (1 + np.exp(-self.mix(inputs, gate)))) * count
                 total = np.maximum(np.bincount(gate, count, len(self.weights)), 1)
                 for o in range(ORDERS):
@@ -240,8 +253,9 @@ class Model:
         counts = np.zeros(2 * 256 * REFINE_STEPS)
         for at in range(0, len(key), 1 << 16):
             some, count = key[at : at + (1 << 16)], n[at : at + (1 << 16)]
+            context = contexts(some)
             for place, node, bit in _bits(some):
-                step = self.steps(self.mix(*self.inputs(some, place, node)), node)
+                step = self.steps(self.mix(*self.inputs(context, place, node)), node)
                 counts += np.bincount(2 * step + bit, count, len(counts))
         return counts
 
@@ -250,8 +264,9 @@ class Model:
         cost = np.zeros(len(key))
         for at in range(0, len(key), 1 << 16):
             some = key[at : at + (1 << 16)]
+            context = contexts(some)
             for place, node, bit in _bits(some):
-                mixed = self.mix(*self.inputs(some, place, node))
+                mixed = self.mix(*self.inputs(context, place, node))
                 one = (1 / (1 + np.exp(-mixed)) + self.refine[self.steps(mixed, node)]) / 2
                 cost[at : at + (1 << 16)] -= np.log2(np.where(bit == 1, one, 1 - one))
         return cost
