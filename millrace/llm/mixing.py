@@ -28,13 +28,13 @@ def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many items of each size bring the sum nearest to ``budget``.
 
     Ties go to the smaller sum.  Time is (sizes x log counts) x budget, memory
-    5 bytes a word of budget.
+    10 bytes a word of budget.
     """
     taken = np.zeros(len(sizes), dtype=np.int64)
     fits = (sizes > 0) & (counts > 0)
     if budget <= 0 or not fits.any():
         return taken
-    limit = budget + min(int(sizes[fits].min()), budget)
+    limit = 2 * budget  # to take nothing is as near as any larger sum
     reached = np.zeros(limit + 1, dtype=bool)
     reached[0] = True
     by_item = np.full(limit + 1, -1, dtype=np.int32)
@@ -62,13 +62,14 @@ def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Documents to take of each length (``sizes`` ascending) for ``budget`` words.
 
-    Every length first gives its proportional share, so the mix keeps the source's
-    lengths; the longest documents left over shrink the rest to what the knapsack holds.
+    What the knapsack cannot hold is shared out first, in proportion, so that the mix keeps
+    the source's lengths; the longest documents left over fill what the shares round off.
     """
     total = int((sizes * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(sizes), dtype=np.int64)
-    taken = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
+    shared = max(budget - KNAPSACK_WORDS, 0)
+    taken = np.array([int(c) * shared // total for c in counts], dtype=np.int64)
     taken = np.minimum(taken, counts)
     rest = budget - int((taken * sizes).sum())
     for k in range(len(sizes) - 1, -1, -1):

@@ -80,16 +80,19 @@ def fit(rows: list[tuple[np.ndarray, int]], grades: int = GRADES, seed: int = 7)
     """Weights, then thresholds, from (features, grade) of each document; Adagrad.
 
     Features of fewer than ``LEAST_DOCUMENTS`` documents keep weight 0, and so do those whose
-    documents have about the usual grade: in a long text their noise would add up.
+    documents reach each grade about as often as all: in a long text their noise would add up.
     """
     size = 1 << FEATURE_BITS
     weights, squares = np.zeros(size), np.full(size, 1e-2)
     grade = np.array([g for _, g in rows])
-    seen, off = np.zeros(size), np.zeros(size)
-    for (found, _), g in zip(rows, grade - grade.mean()):
+    seen, off = np.zeros(size), np.zeros((grades - 1, size))
+    reached = grade[:, None] >= np.arange(1, grades)
+    usual = reached.mean(axis=0)
+    for (found, _), above in zip(rows, reached - usual):
         seen[found] += 1
-        off[found] += g
-    telling = (seen >= LEAST_DOCUMENTS) & (np.abs(off) >= LEAST_DEVIATIONS * grade.std() * np.sqrt(seen))
+        off[:, found] += above[:, None]
+    spread = np.sqrt(usual * (1 - usual))[:, None] * np.sqrt(seen)
+    telling = (seen >= LEAST_DOCUMENTS) & (np.abs(off) > LEAST_DEVIATIONS * spread).any(axis=0)
     tail = np.array([(np.sum(grade >= k) + 1) / (len(rows) + 2) for k in range(1, grades)])
     thresholds, threshold_squares = np.log(1 / tail - 1), np.full(grades - 1, 1e-2)
     kept = [found[telling[found]] for found, _ in rows]

@@ -107,11 +107,18 @@ def _occurrences(length: int):
     return run
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches short enough to be turned into Python objects."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _cut_extracts(length: int):
     """Bytes of the listed extracts of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             data, offsets = tokens.flat(batch["text"])
             out: list[list] = [[], [], []]
             for k, wanted in enumerate(batch["wanted"].to_pylist()):
@@ -146,16 +153,17 @@ class SuffixArray:
             key = (key << np.uint64(8)) | padded[k : k + n]
         order = np.argsort(key, kind="stable")
         new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-        rank = np.empty(n, np.int64)
+        order = order.astype(np.int32)
+        rank = np.empty(n, np.int32)
         rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         self.ranks, h = {FIRST_BYTES: rank}, FIRST_BYTES
         while h < depth:
             group = rank[order]
             single = np.concatenate([[True], group[1:] != group[:-1]]) & np.concatenate([group[1:] != group[:-1], [True]])
             at = np.flatnonzero(~single)
-            after = order[at] + h
+            after = order[at].astype(np.int64) + h
             further = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-            pair = group[at] * (n + 1) + further
+            pair = group[at].astype(np.int64) * (n + 1) + further
             by = np.argsort(pair, kind="stable")
             order, pair = order.copy(), pair[by]
             order[at] = order[at][by]
@@ -178,33 +186,37 @@ class SuffixArray:
                 at += h
         return equal
 
-    def repeated(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """For each of ``starts``: does its run of ``length`` bytes start at another, too?"""
+    def sorted_starts(self, starts: np.ndarray) -> np.ndarray:
         is_start = np.zeros(len(self.data), bool)
         is_start[starts] = True
-        sorted_starts = self.order[is_start[self.order]]
-        equal = self.same(sorted_starts[1:], sorted_starts[:-1], length)
+        return self.order[is_start[self.order]]
+
+    def repeated(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """For each of ``starts``: does its run of ``length`` bytes start at another, too?"""
+        mine = self.sorted_starts(starts)
+        equal = self.same(mine[1:], mine[:-1], length)
         found = np.zeros(len(self.data), bool)
-        found[sorted_starts[1:][equal]] = True
-        found[sorted_starts[:-1][equal]] = True
+        found[mine[1:][equal]] = True
+        found[mine[:-1][equal]] = True
         return found[starts]
 
-    def contains(self, starts: np.ndarray, other: SuffixArray, at: np.ndarray, length: int) -> np.ndarray:
-        """For each run ``at`` of ``other``: is it a run from ``starts`` here?  By binary search."""
-        is_start = np.zeros(len(self.data), bool)
-        is_start[starts] = True
-        mine = self.order[is_start[self.order]]
-        low, high = np.zeros(len(at), np.int64), np.full(len(at), len(mine))
-        found = np.zeros(len(at), bool)
-        while True:
-            open_ = np.flatnonzero((low < high) & ~found)
-            if not len(open_):
-                return found
-            middle = (low[open_] + high[open_]) // 2
-            sign = _compare(self.data, mine[middle], other.data, at[open_], length)
-            found[open_[sign == 0]] = True
-            low[open_[sign < 0]] = middle[sign < 0] + 1
-            high[open_[sign > 0]] = middle[sign > 0]
+
+def contained(data: np.ndarray, mine: np.ndarray, other: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """For each run ``at`` of ``other``: is it one of the runs ``mine`` of ``data``?
+
+    ``mine`` are starts in the order of a suffix array; runs are found by binary search.
+    """
+    low, high = np.zeros(len(at), np.int64), np.full(len(at), len(mine))
+    found = np.zeros(len(at), bool)
+    while True:
+        left = np.flatnonzero((low < high) & ~found)
+        if not len(left):
+            return found
+        middle = (low[left] + high[left]) // 2
+        sign = _compare(data, mine[middle], other, at[left], length)
+        found[left[sign == 0]] = True
+        low[left[sign < 0]] = middle[sign < 0] + 1
+        high[left[sign > 0]] = middle[sign > 0]
 
 
 def _compare(data: np.ndarray, a: np.ndarray, other: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -228,13 +240,15 @@ def _shard_repeats(shards: list[list[tuple]], length: int) -> Iterator[tuple]:
         runs = sizes - length + 1
         starts = np.repeat(begin, runs) + np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
         array = SuffixArray(np.frombuffer(b"".join(body for _, _, body in shard), np.uint8), length)
-        built.append((shard, runs, starts, array, array.repeated(starts, length)))
-    for k, (_, _, starts, array, repeated) in enumerate(built):
-        for m, (_, _, others, other, _) in enumerate(built):
+        # Of the array the merge needs the order of the runs only.
+        order = array.sorted_starts(starts) if len(shards) > 1 else None
+        built.append((shard, runs, starts, array.data, order, array.repeated(starts, length)))
+    for k, (_, _, starts, data, _, repeated) in enumerate(built):
+        for m, (_, _, _, other, order, _) in enumerate(built):
             if m != k:
                 todo = np.flatnonzero(~repeated)
-                repeated[todo] = other.contains(others, array, starts[todo], length)
-    for shard, runs, _, _, repeated in built:
+                repeated[todo] = contained(other, order, data, starts[todo], length)
+    for shard, runs, _, _, _, repeated in built:
         at = 0
         for (anchor, extract, _), n in zip(shard, runs):
             flags = np.concatenate([[False], repeated[at : at + n], [False]])
@@ -257,7 +271,7 @@ def _compare_extracts(length: int):
 
         shards: list[list[tuple]] = [[]]
         filled, before = 0, None
-        for batch in batches:
+        for batch in _slices(batches, 4096):
             for row in zip(*(batch[c].to_pylist() for c in ("anchor", "extract", "body"))):
                 if row[0] != before and (filled >= SHARD_BYTES or len(shards) > 1):
                     yield out(_shard_repeats(shards, length))
@@ -338,7 +352,7 @@ def _digest(length: int):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             data, offsets = tokens.flat(batch["text"])
             for k, spans in enumerate(batch["spans"].to_pylist()):
@@ -362,7 +376,7 @@ def _cut_text(length: int, names: list[str]):
     """Texts without their repeated spans, which shrink to whole characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts, stays = batch["text"].to_pylist(), [True] * len(batch)
             for k, spans in enumerate(batch["spans"].to_pylist()):
                 if spans:
