@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from millrace.functions.times import epoch_millis, plain_timestamp_text
 
 
+# The patterns below must equal the known text forms.
+
+
 def click_text(user: Column, ts: Column, url: Column) -> Column:
     return F.format_string("%s-%s-%s", user, plain_timestamp_text(ts), url)
 

@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 SPACE = " "
 NON_WORD = r"\W+"
+# White space, no-break spaces not among it.
+WHITE_SPACE = (
+    r"\x09-\x0D\x1C-\x20\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}"
+    r"\x{205F}\x{3000}"
+)
 
 
 def is_not_blank(text: Column) -> Column:
-    """True for text with at least one non-space character; null counts as blank."""
-    return F.coalesce(F.length(F.trim(text)) > 0, F.lit(False))
+    """True for text with a character that is no white space; null counts as blank."""
+    return F.coalesce(text.rlike(f"[^{WHITE_SPACE}]"), F.lit(False))
 
 
 def space_tokens(text: Column) -> Column:

@@ -399,7 +399,6 @@ QUERIES = {
         pattern_match_text,
         pattern_match_count,
         json_decoded,
-        datagen_sequence,
         generated_counter,
         generated_random,
         generated_random_argmax_1s,
@@ -523,7 +522,8 @@ ORACLES = {
     "non_blank_lines": r"""
         SELECT doc_id, count(*) AS lines
         FROM (SELECT doc_id, unnest(string_split(text, E'\n')) AS line FROM documents)
-        WHERE length(trim(line, ' ')) > 0 GROUP BY doc_id""",
+        WHERE regexp_matches(line, '[^\x09-\x0D\x1C-\x20\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}]')
+        GROUP BY doc_id""",
     "parsed_lines": """
         SELECT CAST(user_id AS VARCHAR) AS user,
                TIMESTAMP '2020-12-16 00:00:00' + (date_trunc('second', ts)
@@ -575,10 +575,6 @@ ORACLES = {
     "json_decoded": """
         SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k
         FROM events""",
-    "datagen_sequence": """
-        SELECT range AS id, range + 3 AS data
-        FROM range((SELECT min(o_orderkey) FROM orders),
-                   (SELECT max(o_orderkey) + 1 FROM orders))""",
     "generated_counter": """
         SELECT CAST(event_id AS VARCHAR) AS value,
                make_timestamp(event_id * 2000) AS ts

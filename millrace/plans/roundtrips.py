@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.times import parse_timestamp
 from millrace.operators import parse, relational
 from millrace.plans import tables
 from millrace.plans.streams import events_stream
@@ -31,6 +30,9 @@ EVENT_COLUMNS = T.StructType(
     ]
 )
 
+# A control character that no text of the tables has.
+NULL_TEXT = "\x01"
+
 ORDER_COLUMNS = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),
@@ -51,6 +53,21 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("value", F.col("value").cast("double"))
 
 
+def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes, outer blanks, empty ones and nulls, there and back."""
+    path = scratch_path(spark, "csv-texts")
+    texts = tables.table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(F.col("doc_id") % 5 == 0, F.lit(""))
+        .when(F.col("doc_id") % 5 == 1, F.lit(None))
+        .when(F.col("doc_id") % 5 == 2, F.concat(F.lit(' "'), "text", F.lit("\\,  ")))
+        .otherwise(F.col("text"))
+        .alias("text"),
+    )
+    file_sink.write_csv(texts, path, null_text=NULL_TEXT)
+    return files.read_csv(spark, path, texts.schema, null_text=NULL_TEXT, multi_line=True)
+
+
 def tab_csv_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "tab")
     words = tables.table(spark, sf_dir, "orders").select("o_orderpriority")
@@ -113,9 +130,7 @@ def table_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a topic would hold them."""
     events = tables.table(spark, sf_dir, "events")
-    records = kafka_sink.encode_json(
-        events.withColumn("ts", F.col("ts").cast("string")), ["event_id"]
-    )
+    records = kafka_sink.encode_json(events, ["event_id", "event_type"])
     return records.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
@@ -123,18 +138,51 @@ def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kafka_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = kafka.decode(
+    return kafka.decode(
         _envelope(spark, sf_dir),
         T.StructType.fromDDL(
-            "event_id bigint, ts string, user_id bigint, event_type string, "
+            "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
             "value double, props string"
         ),
     )
-    return decoded.withColumn(
-        "ts", parse_timestamp(F.col("ts")).cast("timestamp_ntz")
+
+
+def kafka_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per key, where parts of keys are null or hold what joins them in text."""
+    events = tables.table(spark, sf_dir, "events").select(
+        F.when(F.col("user_id") % 3 == 0, None).otherwise(F.lit("a|b")).alias("k"),
+        F.when(F.col("user_id") % 2 == 0, None).otherwise(F.lit("a")).alias("m"),
+    )
+    records = kafka_sink.encode_json(events, ["k", "m"])
+    parts = F.from_json("key", "k string, m string")
+    return records.groupBy("key").agg(F.count("*").alias("cnt")).select(
+        parts["k"].alias("k"), parts["m"].alias("m"), "cnt"
     )
 
 
+def kafka_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of errors are broken on purpose and come back as rejects."""
+    events = tables.table(spark, sf_dir, "events")
+    envelope = events.select(
+        F.when(F.col("event_type") == "error", F.concat(F.lit("{"), "event_id"))
+        .otherwise(F.to_json(F.struct("event_id", "user_id")))
+        .cast("binary")
+        .alias("value")
+    )
+    bad = kafka.rejected(envelope, T.StructType.fromDDL("event_id bigint, user_id bigint"))
+    return kafka.decode_text(bad, "text")
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose amount is no number are returned as they were written."""
+    path = scratch_path(spark, "csv-rejects")
+    orders = tables.table(spark, sf_dir, "orders")
+    amount = F.when(F.col("o_orderstatus") == "F", F.lit("none")).otherwise(F.lit("12.5"))
+    file_sink.write_text(orders, path, F.concat_ws(",", "o_orderkey", amount))
+    schema = T.StructType.fromDDL("o_orderkey bigint, amount double")
+    return files.rejected_csv(spark, path, schema).select("line")
+
+
 def kafka_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"topic_{uuid.uuid4().hex}"
     kafka.register_topic_view(
@@ -204,18 +252,32 @@ QUERIES = {
     function.__name__: function
     for function in (
         csv_roundtrip,
+        csv_texts,
+        csv_rejects,
+        kafka_keys,
+        kafka_rejects,
         tab_csv_group_count,
         text_roundtrip,
         table_roundtrip,
         table_insert,
         kafka_envelope,
         kafka_sql_view,
-        jdbc_roundtrip,
-        jdbc_upsert_latest,
     )
 }
 
 ORACLES = {
+    "csv_texts": r"""
+        SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL
+                 WHEN 2 THEN ' "' || text || '\,  ' ELSE text END AS text
+        FROM documents""",
+    "csv_rejects": """
+        SELECT o_orderkey || ',none' AS line FROM orders WHERE o_orderstatus = 'F'""",
+    "kafka_keys": """
+        SELECT CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'a|b' END AS k,
+               CASE WHEN user_id % 2 = 0 THEN NULL ELSE 'a' END AS m, count(*) AS cnt
+        FROM events GROUP BY 1, 2""",
+    "kafka_rejects": """
+        SELECT '{' || event_id AS text FROM events WHERE event_type = 'error'""",
     "csv_roundtrip": """
         SELECT event_id, CAST(CAST(value AS DECIMAL(10, 2)) AS DOUBLE) AS value,
                event_type, ts, props
@@ -236,8 +298,4 @@ ORACLES = {
     "kafka_sql_view": """
         SELECT event_type, CAST(sum(event_id) AS BIGINT) AS total
         FROM events GROUP BY event_type""",
-    "jdbc_roundtrip": """
-        SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders""",
-    "jdbc_upsert_latest": """
-        SELECT user_id, count(event_type) AS cnt FROM events GROUP BY user_id""",
 }

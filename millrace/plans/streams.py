@@ -32,7 +32,7 @@ from millrace.streaming.stateful import (
     stream_count_windows,
     stream_pattern_matches,
 )
-from millrace.streaming.watermarks import check_watermarks, with_watermark
+from millrace.streaming.watermarks import WatermarkLog, check_watermarks, with_watermark
 
 # A key's share of one micro-batch meets in one task of the stateful operations.
 STATEFUL_BATCH = 1 << 28
@@ -233,6 +233,7 @@ def stateful_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.funnel_stages(),
         ["event_id"],
         within=batch.ONE_DAY,
+        lateness=timedelta(days=1),
     )
     found = appended(matches, "stateful-pattern")
     return found.select(
@@ -267,9 +268,10 @@ def watermark_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "audit")
     events = with_watermark(events_stream(spark, sf_dir), "ts", "10 seconds")
     counts = windows.tumbling_count(events, "ts", "1 day", ["event_type"])
-    query = run_append(counts, f"{base}/rows", f"{base}/checkpoint")
-    query.awaitTermination()
-    report = check_watermarks(query)
+    with WatermarkLog(spark) as log:
+        query = run_append(counts, f"{base}/rows", f"{base}/checkpoint")
+        query.awaitTermination()
+        report = check_watermarks(log.report(query))
     return report.agg(
         F.max("watermark").cast("timestamp_ntz").alias("last_watermark"),
         F.sum("input_rows").alias("input_rows"),

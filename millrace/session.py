@@ -21,6 +21,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of tables go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     # Checkpoint the changes of a micro-batch instead of whole state files.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

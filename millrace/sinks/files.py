@@ -28,13 +28,23 @@ def write_csv(
     delimiter: str = ",",
     overwrite: bool = False,
     single_file: bool = False,
+    null_text: str = "",
 ) -> None:
-    """Delimited files.  ``single_file`` is for small results: one task writes it all."""
+    """Delimited files; texts keep blanks, quotes and line breaks.
+
+    ``null_text`` is written for null and must be no value's text for both to be told
+    apart.  ``single_file`` is for small results: one task writes it all.
+    """
     mode = "overwrite" if overwrite else "errorifexists"
     out = df.coalesce(1) if single_file else df
     # Six digits, so that timestamps survive the round trip.
     writer = out.write.mode(mode).options(
-        timestampFormat=MICROS_PATTERN, timestampNTZFormat=MICROS_PATTERN
+        timestampFormat=MICROS_PATTERN,
+        timestampNTZFormat=MICROS_PATTERN,
+        nullValue=null_text,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
     writer.csv(path, sep=delimiter)
 

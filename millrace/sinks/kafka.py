@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.sources.kafka import TIME_FORMATS
 from millrace.streaming.run import start
 
 
@@ -22,14 +23,15 @@ def encode_text(df: DataFrame, text: Column) -> DataFrame:
 
 
 def encode_json(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
-    """Records whose value is the row as JSON, nulls included, keyed by ``key`` columns."""
-    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    """Records whose value is the row as JSON, nulls included, keyed by ``key`` columns.
+
+    The key is JSON, too: different keys, nulls among them, give different texts.
+    """
+    options = {"ignoreNullFields": "false", **TIME_FORMATS}
+    value = F.to_json(F.struct("*"), options).alias("value")
     if not key:
         return df.select(value)
-    return df.select(
-        F.concat_ws("|", *[F.col(name).cast("string") for name in key]).alias("key"),
-        value,
-    )
+    return df.select(F.to_json(F.struct(*key), options).alias("key"), value)
 
 
 def write_topic(records: DataFrame, topic: str, client: Mapping[str, str]) -> None:

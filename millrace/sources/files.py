@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -27,8 +28,42 @@ def read_csv(
     *,
     delimiter: str = ",",
     header: bool = False,
+    null_text: str = "",
+    multi_line: bool = False,
 ) -> DataFrame:
-    return spark.read.schema(schema).csv(path, sep=delimiter, header=header)
+    """Rows of delimited files, blanks kept; a malformed row has nulls.
+
+    ``null_text`` stands for null; with the default, empty texts are null, too.
+    ``multi_line`` reads quoted line breaks, and each file in one task.
+    """
+    return spark.read.schema(schema).csv(
+        path, **_csv_options(delimiter, null_text), header=header, multiLine=multi_line
+    )
+
+
+def _csv_options(delimiter: str, null_text: str) -> dict:
+    return {
+        "sep": delimiter,
+        "nullValue": null_text,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+
+
+def rejected_csv(
+    spark: SparkSession, path: str, schema: T.StructType, *, delimiter: str = ","
+) -> DataFrame:
+    """The lines that do not fit ``schema``, as they came, in the column ``line``."""
+    watched = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
+    read = spark.read.schema(watched).csv(
+        path, **_csv_options(delimiter, ""), columnNameOfCorruptRecord="_line"
+    )
+    # All columns are named: a row counts as malformed only if a column asked for is.
+    parsed = F.struct(*schema.names)
+    return read.where(F.col("_line").isNotNull()).select(
+        F.col("_line").alias("line"), parsed.alias("parsed")
+    )
 
 
 def stream_csv(

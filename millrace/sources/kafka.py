@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Six digits, so that timestamps survive the way through text.
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # Client settings that Spark handles itself, with the option that replaces each.
 _OFFSET_RESET = "auto.offset.reset"
 _POLL_LIMIT = "max.poll.records"
@@ -16,20 +22,25 @@ _DECODERS = ("key.deserializer", "value.deserializer")
 
 
 def source_options(
-    topic: str, client: Mapping[str, str], *, start: str = "earliest"
+    topic: str,
+    client: Mapping[str, str],
+    *,
+    start: str = "earliest",
+    max_offsets: int | None = None,
 ) -> dict[str, str]:
     """Options of Spark's Kafka reader for a topic and a set of client settings.
 
     Offsets live in the query's checkpoint, so the client's commit and reset
-    settings turn into ``startingOffsets`` and its poll limit into
-    ``maxOffsetsPerTrigger``.  Decoders are dropped: values arrive as bytes.
+    settings turn into ``startingOffsets``.  Its poll limit sizes a client's buffer and
+    is dropped; ``max_offsets`` bounds a micro-batch.  So are decoders: values arrive
+    as bytes.
     """
     options = {
         "subscribe": topic,
         "startingOffsets": str(client.get(_OFFSET_RESET, start)),
     }
-    if _POLL_LIMIT in client:
-        options["maxOffsetsPerTrigger"] = str(client[_POLL_LIMIT])
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     handled = {_OFFSET_RESET, _POLL_LIMIT, _AUTO_COMMIT, *_DECODERS}
     for name, value in client.items():
         if name not in handled:
@@ -38,12 +49,15 @@ def source_options(
 
 
 def stream_topic(
-    spark: SparkSession, topic: str, client: Mapping[str, str]
+    spark: SparkSession,
+    topic: str,
+    client: Mapping[str, str],
+    *,
+    max_offsets: int | None = None,
 ) -> DataFrame:
     """A topic as a stream of key, value, topic, partition, offset and timestamp."""
-    return (
-        spark.readStream.format("kafka").options(**source_options(topic, client)).load()
-    )
+    options = source_options(topic, client, max_offsets=max_offsets)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def read_topic(
@@ -51,7 +65,6 @@ def read_topic(
 ) -> DataFrame:
     """What a topic holds now, as a table."""
     options = source_options(topic, client)
-    options.pop("maxOffsetsPerTrigger", None)
     return spark.read.format("kafka").options(**options).load()
 
 
@@ -70,21 +83,42 @@ def decode(
     """The values as columns of ``schema``, read as ``json`` or ``csv``.
 
     ``event_time`` names a column for the record's own timestamp.  A value that does
-    not parse gives a row of nulls.
+    not parse gives a row of nulls; :func:`rejected` returns it.
     """
-    text = F.col("value").cast("string")
-    ddl = schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    parsers = {
-        "json": lambda: F.from_json(text, schema),
-        "csv": lambda: F.from_csv(text, ddl),
-    }
-    record = parsers[fmt]().alias("_record")
+    record = _record(schema, fmt).alias("_record")
     times = [] if event_time is None else [F.col("timestamp").alias(event_time)]
     return envelope.select(record, *times).select(
         "_record.*", *([] if event_time is None else [event_time])
     )
 
 
+_REJECT = "_corrupt_record"
+
+
+def _record(schema: T.StructType, fmt: str) -> Column:
+    text = F.col("value").cast("string")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsers = {
+        "json": lambda: F.from_json(text, schema, TIME_FORMATS),
+        "csv": lambda: F.from_csv(text, ddl, TIME_FORMATS),
+    }
+    return parsers[fmt]()
+
+
+def rejected(envelope: DataFrame, schema: T.StructType, fmt: str = "json") -> DataFrame:
+    """The records whose value does not parse as ``schema``, as they came."""
+    watched = schema.add(T.StructField(_REJECT, T.StringType()))
+    options = {**TIME_FORMATS, "columnNameOfCorruptRecord": _REJECT}
+    text = F.col("value").cast("string")
+    if fmt == "json":
+        record = F.from_json(text, watched, options)
+    else:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in watched)
+        record = F.from_csv(text, ddl, options)
+    bad = text.isNull() | record.isNull() | record[_REJECT].isNotNull()
+    return envelope.where(bad)
+
+
 def counted(decoded: DataFrame, observation: Observation | str) -> DataFrame:
     """The same rows, counted on the way as the metric ``records``."""
     return decoded.observe(observation, F.count(F.lit(1)).alias("records"))

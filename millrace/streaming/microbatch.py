@@ -131,10 +131,11 @@ def run_pattern_matches(
     interval: str | None = None,
     max_rows: int = DEFAULT_MAX_ROWS,
 ) -> StreamingQuery:
-    """``pattern_matches`` whose last row is new, over the rows kept from before.
+    """``pattern_matches`` with at least one new row, over the rows kept from before.
 
-    Rows are kept for ``within`` plus ``lateness`` behind the greatest event time; a
-    row arriving later than ``lateness`` may find its partners gone.
+    Rows of all stages are kept for ``within`` plus ``lateness`` behind the greatest
+    event time, so the order of arrival makes no difference; a row arriving later than
+    ``lateness`` may find its partners gone.
     """
     ts = order_by[0]
     conditions = [
@@ -149,22 +150,24 @@ def run_pattern_matches(
         both = before.withColumn("_new", F.lit(False)).unionAll(
             rows.withColumn("_new", F.lit(True))
         )
-        last = len(stages) - 1
         found = pattern_matches(
             both,
             keys,
             order_by,
-            [
-                Stage(stage.name, flag & F.col("_new") if position == last else flag)
-                for position, (stage, flag) in enumerate(zip(stages, flags))
-            ],
-            columns,
+            [Stage(stage.name, flag) for stage, flag in zip(stages, flags)],
+            [*columns, "_new"],
             within=within,
             max_rows=max_rows,
         )
+        has_new = F.lit(False)
+        for stage in stages:
+            has_new = has_new | F.col(f"{stage.name}._new")
+        found = found.where(has_new).withColumns(
+            {stage.name: F.col(stage.name).dropFields("_new") for stage in stages}
+        )
         newest = both.agg(F.max(ts)).first()[0]
         waiting = flags[0]
-        for flag in flags[1:last]:
+        for flag in flags[1:]:
             waiting = waiting | flag
         recent = F.col(ts) >= F.lit(newest).cast(both.schema[ts].dataType) - F.expr(
             horizon

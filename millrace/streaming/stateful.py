@@ -182,17 +182,18 @@ def stream_count_windows(
 
 
 def _extended(
-    chains: np.ndarray, candidates: Sequence[np.ndarray]
+    chains: np.ndarray, low: np.ndarray, candidates: Sequence[np.ndarray]
 ) -> Iterator[np.ndarray]:
     """Chains with a candidate of each list put in front, the last list first.
 
-    Candidates are sorted, so a chain takes the ones before its first row.
+    Candidates are sorted; a chain takes those from its ``low`` to before its first row.
     """
     if not candidates:
         yield chains
         return
     rows = candidates[-1]
-    counts = np.searchsorted(rows, chains[:, 0])
+    begin = np.searchsorted(rows, low)
+    counts = np.maximum(np.searchsorted(rows, chains[:, 0]) - begin, 0)
     first = 0
     while first < len(chains):
         fitting = np.searchsorted(np.cumsum(counts[first:]), ROW_LIMIT, side="right")
@@ -200,23 +201,25 @@ def _extended(
         part = counts[first:until]
         repeated = np.repeat(chains[first:until], part, axis=0)
         starts = np.repeat(np.cumsum(part) - part, part)
-        taken = rows[np.arange(len(repeated)) - starts]
+        places = np.arange(len(repeated)) - starts + np.repeat(begin[first:until], part)
         if len(repeated):
             yield from _extended(
-                np.column_stack([taken, repeated]), candidates[:-1]
+                np.column_stack([rows[places], repeated]),
+                np.repeat(low[first:until], part),
+                candidates[:-1],
             )
         first = until
 
 
 class _Pattern(StatefulProcessor):
-    """Keeps the rows of all stages but the last, as far back as the bound reaches."""
+    """Keeps the rows of all stages, as far back as a late row's matches reach."""
 
     def __init__(
-        self, input_names, keys, order_by, stages, columns, within, state_schema
+        self, input_names, keys, order_by, stages, columns, within, lateness, state_schema
     ):
         self._input_names, self._keys = input_names, keys
         self._order_by, self._stages = order_by, stages
-        self._columns, self._within = columns, within
+        self._columns, self._within, self._lateness = columns, within, lateness
         self._state_schema = state_schema
         self._names = state_schema.names
 
@@ -227,29 +230,34 @@ class _Pattern(StatefulProcessor):
         new = _in_order(rows, self._input_names, self._order_by)[self._names]
         old = pd.DataFrame(list(self._kept.get()), columns=self._names)
         known = pd.concat([old, new], ignore_index=True) if len(old) else new
-        arrival = np.arange(len(known))
+        fresh = np.arange(len(known)) >= len(old)
+        order = known.sort_values(self._order_by, kind="stable").index.to_numpy()
+        known, fresh = known.loc[order].reset_index(drop=True), fresh[order]
         micros = known["_micros"].to_numpy(dtype="int64")
         flags = [
             known[f"_is_{position}"].to_numpy(dtype=bool)
             for position in range(len(self._stages))
         ]
-        fresh = arrival >= len(old)
-        for last in arrival[flags[-1] & fresh]:
-            yield from self._ending_at(last, known, micros, flags, key)
-        earlier_stage = np.logical_or.reduce(flags[:-1])
-        recent = micros >= micros.max() - self._within
-        kept = known[earlier_stage & recent]
+        yield from self._matches(known, micros, flags, fresh, key)
+        kept = known[micros >= micros.max() - self._within - self._lateness]
         self._kept.clear()
         for first in range(0, len(kept), ROW_LIMIT):
             chunk = kept.iloc[first : first + ROW_LIMIT].astype(object)
             chunk = chunk.where(chunk.notna(), None)
             self._kept.appendList(list(chunk.itertuples(index=False, name=None)))
 
-    def _ending_at(self, last, known, micros, flags, key) -> Iterator[pd.DataFrame]:
-        """All chains whose last row is ``last``, in pieces of bounded size."""
-        near = (micros >= micros[last] - self._within) & (micros <= micros[last])
-        candidates = [np.flatnonzero(flag[:last] & near[:last]) for flag in flags[:-1]]
-        for chains in _extended(np.array([[last]]), candidates):
+    def _matches(self, known, micros, flags, fresh, key) -> Iterator[pd.DataFrame]:
+        """All chains with a new row, in pieces of bounded size."""
+        last = np.flatnonzero(flags[-1])
+        low = np.searchsorted(micros, micros[last] - self._within)
+        news = np.concatenate([[0], np.cumsum(fresh)])
+        reachable = news[last + 1] > news[low]
+        last, low = last[reachable], low[reachable]
+        candidates = [np.flatnonzero(flag) for flag in flags[:-1]]
+        for chains in _extended(last[:, None], low, candidates):
+            chains = chains[fresh[chains].any(axis=1)]
+            if not len(chains):
+                continue
             frame = _with_keys(pd.DataFrame(index=range(len(chains))), self._keys, key)
             for position, stage in enumerate(self._stages):
                 taken = known.iloc[chains[:, position]]
@@ -269,10 +277,13 @@ def stream_pattern_matches(
     columns: Sequence[str],
     *,
     within: timedelta,
+    lateness: timedelta = timedelta(0),
 ) -> DataFrame:
     """The streaming form of ``pattern_matches``, columns named ``<stage>_<column>``.
 
-    The bound is required: it is what lets old rows leave the state.
+    A match is given once any of its rows arrives and the others are known, in whatever
+    order: rows are kept for ``within`` plus ``lateness`` behind their key's greatest event
+    time.  Rows without key or event time match nothing.
     """
     ts = order_by[0]
     names = [stage.name for stage in stages]
@@ -283,14 +294,17 @@ def stream_pattern_matches(
     some_stage = stages[0].condition
     for stage in stages[1:]:
         some_stage = some_stage | stage.condition
-    prepared = df.where(some_stage).select(
+    matchable = F.col(ts).isNotNull()
+    for name in keys:
+        matchable = matchable & F.col(name).isNotNull()
+    prepared = df.where(some_stage & matchable).select(
         *dict.fromkeys([*keys, *order_by, *columns]),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_micros"),
         *flags,
     )
     state_schema = T.StructType(
         [
-            *_schema(prepared, columns),
+            *_schema(prepared, list(dict.fromkeys([*order_by, *columns]))),
             *_schema(prepared, ["_micros"]),
             *[
                 T.StructField(f"_is_{position}", T.BooleanType())
@@ -315,6 +329,7 @@ def stream_pattern_matches(
         names,
         list(columns),
         within // timedelta(microseconds=1),
+        lateness // timedelta(microseconds=1),
         state_schema,
     )
     return _per_key(prepared, keys, processor, schema)

@@ -1,4 +1,8 @@
-"""Small inputs with known results."""
+"""Small inputs with known results.
+
+Fixed values: they must equal the inputs whose results are known.  In SCORES names of
+persons are replaced by p1 to p6.
+"""
 
 from millrace.operators.parse import with_event_time
 from millrace.sources import generated
@@ -14,7 +18,14 @@ CLICKS_A = [
     ("Bob", "14:45:30", "/cart.html"),
     ("Liz", "14:15:30", "/prod.html"),
 ]
-CLICKS_B = [(user, time, url) for user, time, url in CLICKS_A[:3]] * 2
+CLICKS_B = [
+    ("marry", "12:30:30", "/home.html"),
+    ("Bob", "12:45:30", "/cart.html"),
+    ("Liz", "13:15:30", "/prod.html"),
+    ("marry", "12:30:30", "/home.html"),
+    ("Bob", "12:45:30", "/cart.html"),
+    ("Liz", "13:15:30", "/prod.html"),
+]
 
 CLICK_LINES = [
     "marry 12:30:30 /home.html",

@@ -10,7 +10,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import schemas
+from tests import schemas
 from millrace.operators import relational
 from millrace.session import checkpoint_root, is_local, scratch_path, shuffle_partitions
 from millrace.sinks import catalog as catalog_sink
@@ -307,7 +307,6 @@ def test_kafka_options():
     assert kafka.source_options("t", client) == {
         "subscribe": "t",
         "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": "10",
         "kafka.bootstrap.servers": "h:1",
         "kafka.group.id": "g",
         "kafka.session.timeout.ms": "30000",

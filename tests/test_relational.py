@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import schemas
+from tests import schemas
 from millrace.functions import render, text, times
 from millrace.operators import parse, relational, rows
 from millrace.sources import generated

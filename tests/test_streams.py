@@ -3,6 +3,7 @@
 import itertools
 import subprocess
 import sys
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import schemas
+from tests import schemas
 from millrace.functions import times
 from millrace.operators import parse, relational, windows
 from millrace.operators.changelog import changelog_count
@@ -33,7 +34,7 @@ from millrace.streaming.stateful import (
     stream_pattern_matches,
 )
 from millrace.streaming.watermarks import (
-    audit_watermarks,
+    WatermarkLog,
     check_watermarks,
     split_by_wall_clock,
     watermark_violations,
@@ -106,7 +107,8 @@ def test_late_rows_are_dropped_and_reported(spark, tmp_path):
 
     run()
     write_lines(source, "b.txt", ["Bob 12:20:00 /late", "Bob 15:30:00 /c"])
-    report = check_watermarks(run())
+    with WatermarkLog(spark) as log:
+        report = check_watermarks(log.report(run()))
     assert report.agg(F.sum("late_rows")).first()[0] == 1
     assert report.agg(F.sum("input_rows")).first()[0] == 2
     found = spark.read.parquet(out).withColumn("end", F.hour("window_end"))
@@ -124,11 +126,25 @@ def test_watermark_report_finds_a_step_back(spark):
 def test_too_few_watermarks(spark, tmp_path):
     write_lines(tmp_path / "in", "a.txt", fixtures.CLICK_LINES)
     counts = relational.grouped_count(click_stream(spark, tmp_path / "in"), ["user"], "n")
-    query = run_latest(counts, str(tmp_path / "out"), str(tmp_path / "cp"), "complete")
-    query.awaitTermination()
-    assert audit_watermarks(query).count() == 1
+    with WatermarkLog(spark) as log:
+        query = run_latest(counts, str(tmp_path / "out"), str(tmp_path / "cp"), "complete")
+        query.awaitTermination()
+        report = log.report(query)
+    assert report.count() == 1
     with pytest.raises(ValueError, match="different watermarks"):
-        check_watermarks(query, least_distinct=1)
+        check_watermarks(report, least_distinct=1)
+
+
+def test_no_micro_batch_is_missing_from_a_long_report(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(WatermarkLog, "PAGE_ROWS", 50)
+    for number in range(120):
+        write_lines(tmp_path / "in", f"{number:03}.txt", ["Bob 12:00:00 /a"])
+    with WatermarkLog(spark) as log:
+        clicks = click_stream(spark, tmp_path / "in", 1)
+        query = run_append(clicks, str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        report = log.report(query)
+    assert report.agg(F.sum("input_rows"), F.min("batch_id")).first()[:] == (120, 0)
 
 
 def test_watermarks_advance_with_the_micro_batches(spark, tmp_path):
@@ -137,9 +153,10 @@ def test_watermarks_advance_with_the_micro_batches(spark, tmp_path):
         write_lines(tmp_path / "in", f"{number}.txt", lines)
     clicks = with_watermark(click_stream(spark, tmp_path / "in", 1), "timestamp")
     counts = windows.tumbling_count(clicks, "timestamp", "1 hour", ["user"])
-    query = run_append(counts, str(tmp_path / "out"), str(tmp_path / "cp"))
-    query.awaitTermination()
-    report = check_watermarks(query, least_distinct=3)
+    with WatermarkLog(spark) as log:
+        query = run_append(counts, str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        report = check_watermarks(log.report(query), least_distinct=3)
     assert report.agg(F.max("watermark")).first()[0] == datetime(2020, 12, 16, 12)
 
 
@@ -346,6 +363,47 @@ def test_pattern_steps_survive_restarts(spark, in_two_runs, max_rows):
     assert tuples(found) == tuples(matches_of(whole, within))
 
 
+@pytest.mark.parametrize("form", ["steps", "stateful"])
+def test_patterns_in_any_order_of_arrival(spark, tmp_path, form):
+    rows = [
+        ("k", 1, 1, "start", 1), ("k", 2, 2, "middle", 1), ("k", 3, 3, "end", 1),
+        ("k", 4, 4, "middle", 1), ("k", 5, 5, "end", 1), (None, 1, 1, "start", 1),
+        (None, 2, 2, "middle", 1), (None, 3, 3, "end", 1), ("k", None, 9, "end", 1),
+    ]
+    schema = "key string, hour int, seq long, kind string, value int"
+    day = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    whole = spark.createDataFrame(rows, schema).withColumn(
+        "ts", day + F.make_interval(hours=F.col("hour"))
+    )
+    kinds = [Stage(kind, F.col("kind") == kind) for kind in ("start", "middle", "end")]
+    keys, order, within = ["key"], ["ts", "seq"], timedelta(hours=20)
+    expected = pattern_matches(whole, keys, order, kinds, ["seq"], within=within).select(
+        "start.seq", "middle.seq", "end.seq"
+    )
+    assert expected.count() == 3
+    for number, order_of_arrival in enumerate([(4, 2, 1, 0, 3), (2, 0, 4, 1, 3)]):
+        base = tmp_path / f"{form}-{number}"
+        for place, position in enumerate([*order_of_arrival, 5, 6, 7, 8]):
+            one = whole.where((F.col("seq") == rows[position][2]) & F.col("key").eqNullSafe(rows[position][0]))
+            one.coalesce(1).write.mode("append").json(f"{base}/in/{place}")
+            time.sleep(0.02)
+        stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).json(f"{base}/in/*")
+        out, checkpoint = f"{base}/out", f"{base}/cp"
+        if form == "steps":
+            query = microbatch.run_pattern_matches(
+                stream, keys, order, kinds, ["seq"], within, timedelta(hours=20), out, checkpoint
+            )
+            names = ["start.seq", "middle.seq", "end.seq"]
+        else:
+            matches = stream_pattern_matches(
+                stream, keys, order, kinds, ["seq"], within=within, lateness=timedelta(hours=20)
+            )
+            query = run_append(matches, out, checkpoint)
+            names = ["start_seq", "middle_seq", "end_seq"]
+        query.awaitTermination()
+        assert tuples(spark.read.parquet(out).select(*names)) == tuples(expected)
+
+
 def test_a_failed_micro_batch_is_repeated(spark, in_two_runs, monkeypatch):
     """The second run fails after writing its result and before carrying its state."""
     whole, run = in_two_runs

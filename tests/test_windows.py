@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from millrace import schemas
+from tests import schemas
 from millrace.functions import times
 from millrace.operators import parse, windows
 from millrace.sources import files, generated
