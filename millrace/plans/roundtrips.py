@@ -180,7 +180,7 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.when(F.col("o_orderstatus") == "F", F.lit("none")).otherwise(F.lit("12.5"))
     file_sink.write_text(orders, path, F.concat_ws(",", "o_orderkey", amount))
     schema = T.StructType.fromDDL("o_orderkey bigint, amount double")
-    return files.rejected_csv(spark, path, schema).select("line")
+    return files.rejected_csv(spark, path, schema)
 
 
 def kafka_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.text import is_not_blank
+
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per line, in the column ``value``."""
@@ -54,15 +56,20 @@ def _csv_options(delimiter: str, null_text: str) -> dict:
 def rejected_csv(
     spark: SparkSession, path: str, schema: T.StructType, *, delimiter: str = ","
 ) -> DataFrame:
-    """The lines that do not fit ``schema``, as they came, in the column ``line``."""
-    watched = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
-    read = spark.read.schema(watched).csv(
-        path, **_csv_options(delimiter, ""), columnNameOfCorruptRecord="_line"
+    """The lines that do not fit ``schema``, as they came, in the column ``line``.
+
+    For files of one record a line; blank lines are no records.
+    """
+    watched = ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}"
+        for field in [*schema.fields, T.StructField("_line", T.StringType())]
     )
-    # All columns are named: a row counts as malformed only if a column asked for is.
-    parsed = F.struct(*schema.names)
-    return read.where(F.col("_line").isNotNull()).select(
-        F.col("_line").alias("line"), parsed.alias("parsed")
+    options = {name: str(value) for name, value in _csv_options(delimiter, "").items()}
+    record = F.from_csv("value", watched, {**options, "columnNameOfCorruptRecord": "_line"})
+    return (
+        read_text(spark, path)
+        .where(is_not_blank(F.col("value")) & record["_line"].isNotNull())
+        .select(F.col("value").alias("line"))
     )
 
 

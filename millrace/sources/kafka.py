@@ -107,7 +107,7 @@ def _record(schema: T.StructType, fmt: str) -> Column:
 
 def rejected(envelope: DataFrame, schema: T.StructType, fmt: str = "json") -> DataFrame:
     """The records whose value does not parse as ``schema``, as they came."""
-    watched = schema.add(T.StructField(_REJECT, T.StringType()))
+    watched = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType())])
     options = {**TIME_FORMATS, "columnNameOfCorruptRecord": _REJECT}
     text = F.col("value").cast("string")
     if fmt == "json":
