@@ -19,6 +19,7 @@ from millrace.operators.relational import integer_quotient
 
 ROWS = "_rows"
 TOTAL = "_total"
+FILLED = "_filled"
 DONE = "_done"
 
 
@@ -54,9 +55,9 @@ def count_windows(
 
 
 def carried_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
-    """Per key: rows and total of the open window, and the number of closed ones."""
+    """Per key: rows, total and values of the open window, and how many are closed."""
     schema = df.select(*keys).schema
-    for name in (ROWS, TOTAL, DONE):
+    for name in (ROWS, TOTAL, FILLED, DONE):
         schema = schema.add(name, T.LongType())
     return schema
 
@@ -79,7 +80,8 @@ def count_windows_step(
         *keys,
         *order_by,
         F.lit(1).cast("bigint").alias(ROWS),
-        F.col(value).cast("bigint").alias(TOTAL),
+        F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias(TOTAL),
+        F.col(value).isNotNull().cast("bigint").alias(FILLED),
         F.lit(0).cast("bigint").alias(DONE),
     )
     rows = with_carried(new, carried)
@@ -95,17 +97,25 @@ def count_windows_step(
     # A carried row without open rows has position 0 and touches window 0 as well.
     window = integer_quotient(F.greatest(F.col("_position") - 1, F.lit(0)), F.lit(size))
     return placed.groupBy(*keys, (F.col("_base") + window).alias("window_index")).agg(
-        F.sum(ROWS).alias(ROWS), F.sum(TOTAL).alias("total")
+        F.sum(ROWS).alias(ROWS), F.sum(TOTAL).alias("total"), F.sum(FILLED).alias(FILLED)
     )
 
 
 def closed_windows(
     windows: DataFrame, keys: Sequence[str], size: int
 ) -> DataFrame:
-    """Sum and truncated mean of the windows that are full."""
-    mean = integer_quotient(F.col("total"), F.lit(size)).cast("double")
+    """Sum and truncated mean of the windows that are full.
+
+    A null row counts as a row but adds no value: the mean is that of the values, and
+    without any both are null.
+    """
+    some = F.col(FILLED) > 0
+    mean = integer_quotient(F.col("total"), F.col(FILLED)).cast("double")
     return windows.where(F.col(ROWS) == size).select(
-        *keys, "window_index", "total", mean.alias("mean")
+        *keys,
+        "window_index",
+        F.when(some, F.col("total")).alias("total"),
+        F.when(some, mean).alias("mean"),
     )
 
 
@@ -115,5 +125,6 @@ def open_windows(windows: DataFrame, keys: Sequence[str], size: int) -> DataFram
     return windows.groupBy(*keys).agg(
         F.sum(F.when(full, 0).otherwise(F.col(ROWS))).alias(ROWS),
         F.sum(F.when(full, 0).otherwise(F.col("total"))).alias(TOTAL),
+        F.sum(F.when(full, 0).otherwise(F.col(FILLED))).alias(FILLED),
         F.max(F.col("window_index") + full.cast("bigint")).alias(DONE),
     )

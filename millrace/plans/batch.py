@@ -281,6 +281,24 @@ def count_window_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gappy(events: DataFrame) -> DataFrame:
+    """Scores of which every third is missing, and all of some users."""
+    gap = (F.col("event_id") % 3 == 0) | (F.col("user_id") % 5 == 0)
+    return events.select(
+        "user_id", "event_id", F.when(~gap, whole("value")).alias("score")
+    )
+
+
+def count_window_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_windows(
+        gappy(table(spark, sf_dir, "events")),
+        ["user_id"],
+        ["event_id"],
+        2,
+        {"total": F.sum("score").cast("double"), "mean": relational.truncated_mean("score")},
+    )
+
+
 def changelog_count_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return changelog_count(events, ["user_id"], ["event_id"], "event_type")
@@ -393,6 +411,7 @@ QUERIES = {
         utc2local,
         wall_clock_split,
         count_window_2,
+        count_window_nulls,
         changelog_count_user,
         changelog_count_nulls,
         pattern_signup_view_purchase_1d,
@@ -556,6 +575,16 @@ ORACLES = {
                        // 2 AS window_index
               FROM events)
         GROUP BY user_id, window_index HAVING count(*) = 2""",
+    "count_window_nulls": """
+        SELECT user_id, window_index, CAST(sum(score) AS DOUBLE) AS total,
+               CAST(CAST(sum(score) AS BIGINT) // count(score) AS DOUBLE) AS mean
+        FROM (SELECT user_id,
+                     CASE WHEN event_id % 3 <> 0 AND user_id % 5 <> 0
+                          THEN CAST(floor(value) AS BIGINT) END AS score,
+                     (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1)
+                       // 2 AS window_index
+              FROM events)
+        GROUP BY user_id, window_index HAVING count(*) = 2""",
     "changelog_count_user": _CHANGES.format(flag="1"),
     "changelog_count_nulls": _CHANGES.format(
         flag="CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END"

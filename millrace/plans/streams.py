@@ -158,6 +158,28 @@ def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = events_stream(spark, sf_dir, BACKLOG_BATCH).select(
+        "user_id", "event_id", batch.whole("value").alias("score")
+    )
+    return _stepped_windows(spark, scores)
+
+
+def stream_count_window_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = batch.gappy(events_stream(spark, sf_dir, BACKLOG_BATCH))
+    found = _stepped_windows(spark, scores)
+    return found.withColumn("total", F.col("total").cast("double"))
+
+
+def stateful_count_window_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = batch.gappy(events_stream(spark, sf_dir, STATEFUL_BATCH))
+    found = appended(
+        stream_count_windows(scores, ["user_id"], ["event_id"], 2, "score"),
+        "stateful-count-window-nulls",
+    )
+    return found.withColumn("total", F.col("total").cast("double"))
+
+
+def _stepped_windows(spark: SparkSession, scores: DataFrame) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("user_id", T.LongType()),
@@ -166,9 +188,6 @@ def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
             T.StructField("mean", T.DoubleType()),
         ]
     )
-    scores = events_stream(spark, sf_dir, BACKLOG_BATCH).select(
-        "user_id", "event_id", batch.whole("value").alias("score")
-    )
     return _per_batch(
         spark,
         "count-window",
@@ -291,6 +310,8 @@ QUERIES = {
         stream_union_filtered,
         stream_changelog,
         stream_count_window,
+        stream_count_window_nulls,
+        stateful_count_window_nulls,
         stream_pattern,
         stateful_changelog,
         stateful_count_window,
@@ -329,6 +350,8 @@ ORACLES = {
     "stateful_changelog": f"""
         SELECT is_add, user_id, cnt FROM ({batch.ORACLES["changelog_count_user"]})""",
     "stream_count_window": batch.ORACLES["count_window_2"],
+    "stream_count_window_nulls": batch.ORACLES["count_window_nulls"],
+    "stateful_count_window_nulls": batch.ORACLES["count_window_nulls"],
     "stream_pattern": batch.ORACLES["pattern_signup_view_purchase_1d"],
     "stream_parsed_lines": batch.ORACLES["parsed_lines"],
     "rolling_sink": """

@@ -129,26 +129,34 @@ class _CountWindows(StatefulProcessor):
         self._value, self._size = value, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._open = handle.getValueState("open", "window long, rows long, total long")
+        self._open = handle.getValueState(
+            "open", "window long, rows long, total long, values long"
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         ordered = _in_order(rows, self._names, self._order_by)
-        values = ordered[self._value].to_numpy()
-        window, filled, total = self._open.get() if self._open.exists() else (0, 0, 0)
+        values = ordered[self._value].to_numpy(dtype="int64")
+        window, filled, total, known = (
+            self._open.get() if self._open.exists() else (0, 0, 0, 0)
+        )
         offset = (filled + np.arange(len(values))) // self._size
         sums = np.zeros(offset[-1] + 1, dtype="int64")
-        np.add.at(sums, offset, values.astype("int64"))
+        counts = np.zeros(offset[-1] + 1, dtype="int64")
+        np.add.at(sums, offset, values)
+        np.add.at(counts, offset, ordered["_has"].to_numpy(dtype="int64"))
         sums[0] += total
+        counts[0] += known
         closed = (filled + len(values)) // self._size
         left = (filled + len(values)) % self._size
-        rest = int(sums[closed]) if left else 0
-        self._open.update((int(window + closed), int(left), rest))
-        sums = sums[:closed]
+        rest = (int(sums[closed]), int(counts[closed])) if left else (0, 0)
+        self._open.update((int(window + closed), int(left), *rest))
+        sums, counts = sums[:closed], counts[:closed]
         # Whole-number division with the fraction cut off, also below zero.
-        mean = np.sign(sums) * (np.abs(sums) // self._size)
+        mean = np.sign(sums) * (np.abs(sums) // np.maximum(counts, 1))
         frame = pd.DataFrame({"window_index": window + np.arange(closed)})
-        frame["total"] = sums
-        frame["mean"] = mean.astype("float64")
+        frame["total"] = pd.array(sums, dtype="Int64")
+        frame["mean"] = pd.array(mean, dtype="Float64")
+        frame.loc[counts == 0, ["total", "mean"]] = pd.NA
         yield _with_keys(frame, self._keys, key)
 
     def close(self) -> None:
@@ -174,7 +182,10 @@ def stream_count_windows(
             T.StructField("mean", T.DoubleType()),
         ]
     )
-    needed = df.select(*keys, *order_by, F.col(value).cast("bigint").alias("_value"))
+    # Null adds nothing to a window but takes one of its places; see ``closed_windows``.
+    number = F.coalesce(F.col(value).cast("bigint"), F.lit(0))
+    has = F.col(value).isNotNull().cast("bigint")
+    needed = df.select(*keys, *order_by, number.alias("_value"), has.alias("_has"))
     processor = _CountWindows(
         needed.columns, list(keys), list(order_by), "_value", size
     )
