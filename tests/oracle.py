@@ -26,7 +26,8 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
             column = column.round(6)
         elif column.dtype.kind == "M":
             column = column.astype("datetime64[us]").astype("int64")
-        columns.append(column.astype(object).tolist())
+        whole = column.astype(object)
+        columns.append(whole.where(column.notna(), None).tolist())
     return sorted(zip(*columns), key=repr)
 
 
