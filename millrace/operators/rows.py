@@ -11,7 +11,8 @@ from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -49,6 +50,28 @@ def map_rows(
     return flat_map_rows(df, lambda record: (function(record),), schema)
 
 
+def _identity(value: Any) -> Hashable:
+    """Equal for values that are one group: NaN is NaN, -0.0 is 0.0, nested values count."""
+    if isinstance(value, float):
+        return "NaN" if value != value else value + 0.0
+    if isinstance(value, dict):
+        return tuple((name, _identity(part)) for name, part in value.items())
+    if isinstance(value, (list, tuple)):
+        return tuple(_identity(part) for part in value)
+    return value
+
+
+def _one_number(df: DataFrame, name: str) -> Column:
+    """A key column in which NaN and zero have one form each, as grouping needs."""
+    column = F.col(name)
+    if not isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return column
+    nan = F.lit(float("nan")).cast(df.schema[name].dataType)
+    zero = F.lit(0.0).cast(df.schema[name].dataType)
+    plain = F.when(F.isnan(column), nan).when(column == 0, zero).otherwise(column)
+    return plain.alias(name)
+
+
 def aggregate_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -67,9 +90,11 @@ def aggregate_rows(
     way.  A task holds at most ``open_accumulators`` of them, and no group of rows.
     ``result`` turns a key and its accumulator into an output row.
 
-    To aggregate per window, make the window's bounds key columns.
+    To aggregate per window, make the window's bounds key columns.  Keys are one group
+    as in ``groupBy``: NaN equals NaN, and arrays and structs are compared by value.
     """
     keys = list(keys)
+    df = df.withColumns({name: _one_number(df, name) for name in keys})
     key_schema = df.select(*keys).schema
     partial_schema = T.StructType(
         [*key_schema.fields, T.StructField("_accumulator", T.BinaryType())]
@@ -89,19 +114,20 @@ def aggregate_rows(
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def accumulators() -> Iterator[tuple]:
-            found: dict[Hashable, Any] = {}
+            found: dict[Hashable, tuple[tuple, Any]] = {}
             for batch in batches:
                 for record in batch.to_pylist():
                     key = tuple(record[name] for name in keys)
-                    so_far = found[key] if key in found else create()
-                    found[key] = add(so_far, record)
+                    group = _identity(key)
+                    so_far = found[group][1] if group in found else create()
+                    found[group] = key, add(so_far, record)
                     if len(found) == open_accumulators:
                         yield from packed(found)
                         found = {}
             yield from packed(found)
 
         def packed(found: dict) -> Iterator[tuple]:
-            return ((*key, pickle.dumps(value)) for key, value in found.items())
+            return ((*key, pickle.dumps(value)) for key, value in found.values())
 
         return batches_of(accumulators(), partial_schema)
 
@@ -112,7 +138,7 @@ def aggregate_rows(
                 for record in batch.to_pylist():
                     key = tuple(record[name] for name in keys)
                     value = pickle.loads(record["_accumulator"])
-                    if key == current:
+                    if current is not None and _identity(key) == _identity(current):
                         merged = merge(merged, value)
                         continue
                     if current is not None:

@@ -1,7 +1,7 @@
 """Tumbling windows on event time or processing time.
 
-Windows are half open, ``[start, end)``, and aligned to the epoch in the session
-time zone unless ``start_time`` shifts them.  Everything here is a built-in
+Windows are half open, ``[start, end)``, and aligned to the epoch unless ``start_time``
+shifts them: in UTC for timestamps with time zone, as written for those without.  Everything here is a built-in
 aggregate: rows are combined before the shuffle and no window is ever buffered.
 """
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -98,12 +100,17 @@ def stream_upsert(
     checkpoint: str,
     *,
     interval: str | None = None,
+    staging: str | None = None,
     column_types: str | None = None,
 ) -> StreamingQuery:
-    """Keeps the latest value per key of an updating result in a database table."""
+    """Keeps the latest value per key of an updating result in a database table.
+
+    The staging table is the stream's own, named after its checkpoint by default.
+    """
+    staging = staging or f"{table}_staging_{zlib.crc32(checkpoint.encode()):08x}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, options, table, keys, column_types=column_types)
+        upsert(batch, options, table, keys, staging=staging, column_types=column_types)
 
     writer = result.writeStream.outputMode("update").foreachBatch(write)
     return start(writer, result.sparkSession, checkpoint, interval=interval)

@@ -249,6 +249,27 @@ def test_user_defined_aggregate(spark, open_accumulators):
     assert tuples(found) == tuples(expected)
 
 
+def test_user_defined_aggregate_groups_as_group_by_does(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(nan, ["a"]), (nan, ["a"]), (0.0, ["a", "b"]), (-0.0, ["a", "b"]), (None, None), (1.0, [])] * 3,
+        "number double, parts array<string>",
+    )
+    found = rows.aggregate_rows(
+        df.repartition(4),
+        ["number", "parts"],
+        lambda: 0,
+        lambda acc, row: acc + 1,
+        lambda a, b: a + b,
+        lambda key, acc: (*key, acc),
+        T.StructType.fromDDL("number double, parts array<string>, n bigint"),
+        open_accumulators=2,
+    )
+    expected = df.groupBy("number", "parts").agg(F.count("*").alias("n"))
+    texts = ["cast(number as string)", "cast(parts as string)", "n"]
+    assert tuples(found.selectExpr(*texts)) == tuples(expected.selectExpr(*texts))
+
+
 def test_user_defined_aggregate_per_window(spark):
     df = spark.createDataFrame(
         [("a", 0, 5), ("a", 4, -7), ("a", 6, 1), ("b", 1, 2)], "user string, s int, d int"
