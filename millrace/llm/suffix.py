@@ -28,6 +28,8 @@ PLACE_BITS = 24
 PIECE_BYTES = 8 << 20
 SHARD_BYTES = 1 << 20
 FIRST_BYTES = 8
+# Of 32 bytes each.
+WANTED_AT_ONCE = 2_000_000
 
 
 def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
@@ -313,7 +315,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .agg(F.collect_list(F.struct("anchor", "extract", "place.first", "place.runs")).alias("wanted"))
     )
     bodies = (
-        docs.join(small(wanted), "text_key")
+        docs.join(small(wanted, "wanted", WANTED_AT_ONCE), "text_key")
         .select("text", "wanted")
         .mapInArrow(_cut_extracts(length), "anchor long, extract long, body binary")
         .dropDuplicates(["anchor", "extract"])
@@ -400,7 +402,7 @@ def _cut_text(length: int, names: list[str]):
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
     keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     spans = cut_lineage(repeated_spans(keyed.select("text_key", "text"), length))
-    return keyed.join(small(spans), "text_key", "left")
+    return keyed.join(small(spans, "spans"), "text_key", "left")
 
 
 def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -53,9 +53,13 @@ def any_lower(text: Column) -> Column:
 BROADCAST_ROWS = 200_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast only if the checked number of rows allows; else a join shuffles."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, items: str | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast only if the checked number of rows allows; else a join shuffles.
+
+    With an array column ``items`` the number of its elements counts.
+    """
+    counted = F.count("*") if items is None else F.coalesce(F.sum(F.size(items)), F.lit(0))
+    return F.broadcast(df) if df.select(counted).first()[0] <= most else df
 
 
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
