@@ -2,9 +2,10 @@
 
 Text is its words, A-Z lower-cased, each followed by a blank, then an end sign.  Every byte
 is eight binary decisions.  For each number of preceding bytes (0 to ``MOST_ORDER``), and for
-the word so far within them, a hashed table of counts predicts the next bit; a mixer adds the predictions in the logistic domain,
-with weights chosen by how long a context was seen before and by the bit's place, learned
-online; a last table, adapted to what the mixer got right, refines the result.
+the word so far within them, a hashed table of counts predicts the next bit; a mixer adds
+the predictions in the logistic domain, with weights chosen by how long a context was seen
+before and by the bit's place, learned online; a last table, adapted to what the mixer got
+right, refines the result.
 
 All training text counts.  As a prediction depends on ``MOST_ORDER + 1`` bytes only, tasks
 count and score distinct byte runs instead of every place.
@@ -27,13 +28,13 @@ ORDERS = MOST_ORDER + 2
 SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 BLOCK = 1 << 15
-HELD_GRAMS = 4_000_000
+HELD_GRAMS = 3_000_000
 LEARN_AT_ONCE = 1024
 LEARNING_RATE = 0.5
 PASSES = 3
 REFINE_STEPS = 33
 HOT_WORDS = 1 << 17
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
