@@ -24,10 +24,18 @@ TURN_END = "<|end|>"
 # comes first when texts are escaped and last when they are read back.
 ESCAPES = (("\\", "\\e"), ("<", "\\l"), ("[", "\\b"))
 
+# Strict JSON of any text length; what is not goes to ``_corrupt``.
+PARSER = {"maxStringLen": str((1 << 31) - 1), "allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt"}
+# Skeletons of this many characters fit a variant whatever they are made of.
+MOST_BARE = 16 << 20
+
 
 @dataclass(frozen=True)
 class Mapping:
-    """A layout: the paths its records have, and SQL that makes turns of ``record``."""
+    """A layout: the paths its records have, and SQL that makes turns of ``record``.
+
+    ``record`` is a struct of the fields that the paths of all mappings name.
+    """
 
     name: str
     paths: tuple[str, ...]
@@ -35,12 +43,11 @@ class Mapping:
 
 
 def _turn(role: str, path: str) -> str:
-    return f"struct('{role}' as role, variant_get(record, '$.{path}', 'string') as text)"
+    return f"struct('{role}' as role, record.{path} as text)"
 
 
 def _listed(path: str, role: str, text: str) -> str:
-    items = f"variant_get(record, '$.{path}', 'array<struct<{role}: string, {text}: string>>')"
-    return f"transform({items}, m -> struct(m.{role} as role, m.{text} as text))"
+    return f"transform(record.{path}, m -> struct(m.`{role}` as role, m.`{text}` as text))"
 
 
 MAPPINGS = (
@@ -75,6 +82,32 @@ def field_paths(record: Column) -> Column:
     return F.array_sort(F.flatten(F.transform(top, steps)))
 
 
+def skeleton(record: Column) -> Column:
+    """A JSON text with its string values empty, and of equal objects in a row only one.
+
+    It has the paths of the record, and stays short however long texts and lists are: the
+    JSON parser gives null above 20 million characters a string, a variant above 128 MB.
+    Possessive quantifiers keep the matcher off the stack.
+    """
+    inside = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+    # A value leaves its quotes, a name all of it.
+    bare = F.regexp_replace(record, rf'(?s)("){inside}(")(?!\s*+:)|("{inside}")', "$1$2$3")
+    return F.regexp_replace(bare, r"(\{[^{}]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
+def _fields(mappings: Sequence[Mapping]) -> str:
+    """Schema of the fields that the mappings read; ``[]`` is a list of structs."""
+    inside: dict[str, set[str]] = {}
+    for path in {p for m in mappings for p in m.paths}:
+        name, listed, inner = path.partition("[].")
+        inside.setdefault(name, set()).update([inner] if listed else [])
+    kinds = {
+        name: f"array<struct<{', '.join(f'`{i}`: string' for i in sorted(inner))}>>" if inner else "string"
+        for name, inner in inside.items()
+    }
+    return f"struct<{', '.join(f'`{name}`: {kinds[name]}' for name in sorted(kinds))}, _corrupt: string>"
+
+
 def fingerprint(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, "\n"))
 
@@ -83,10 +116,21 @@ def canonical_turns(records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS)
     """``records`` with ``layout`` and ``turns`` in place of the JSON text ``record``.
 
     Records that are null, not JSON or of no known layout get a null layout and null turns.
-    Null roles and texts are empty.
+    Null roles and texts are empty.  Texts may have any length that a Spark string holds
+    (2 GB a record); beyond it the job fails, as it does for millions of unlike objects in
+    one list.
     """
-    parsed = records.withColumn("record", F.try_parse_json("record")).withColumn(
-        "print", fingerprint(field_paths(F.col("record")))
+    parsed = (
+        records.withColumn("bare", skeleton(F.col("record")))
+        .withColumn(
+            "bare",
+            F.when(F.length("bare") > MOST_BARE, F.raise_error(F.lit("too many unlike objects in a record")))
+            .otherwise(F.col("bare")),
+        )
+        .withColumn("print", fingerprint(field_paths(F.try_parse_json("bare"))))
+        .withColumn("record", F.from_json("record", _fields(mappings), PARSER))
+        # Broken inside a string, where the skeleton does not look.
+        .withColumn("print", F.when(F.col("record._corrupt").isNull(), F.col("print")))
     )
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for mapping in mappings:
@@ -100,7 +144,7 @@ def canonical_turns(records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS)
             F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")
         ),
     )
-    return parsed.withColumn("layout", layout).withColumn("turns", filled).drop("record", "print")
+    return parsed.withColumn("layout", layout).withColumn("turns", filled).drop("record", "bare", "print")
 
 
 def escaped(text: Column) -> Column:

@@ -334,6 +334,34 @@ def test_conversations_with_nulls(spark):
     assert got == {1: [("user", "x"), ("", ""), ("", "")], None: [("user", "n")], 2: [("user", "a"), ("assistant", "b")]}
 
 
+def test_conversations_beyond_the_limits_of_parser_and_variant(spark):
+    frame = spark.sql(
+        "select 1L conv_id, id turn, if(id = 0, 'user', 'assistant') role, repeat('x', 20200000) text from range(2) "
+        "union all select 2L, id, if(id % 2 = 0, 'user', 'assistant'), repeat('<[y', 300000) from range(160)"
+    )
+    turns = chat.canonical_turns(chat.conversation_records(frame)).withColumn("n", F.size("turns"))
+    got = {
+        r.conv_id: (r.layout, r.n, r.loss)
+        for r in turns.select("conv_id", "layout", "n", F.length(chat.loss_text(F.col("turns"))).alias("loss")).collect()
+    }
+    assert got == {1: ("prompt", 2, 20_200_000), 2: ("messages", 160, 80 * 900_000)}
+
+
+def test_records_that_are_broken_or_look_like_others(spark):
+    records = {
+        r'{"prompt": "a \q", "completion": "b"}': None,
+        '{"prompt": "a': None,
+        '{"messages": [{"role": "user", "content": ["x"]}]}': None,
+        '{"messages": ["x"]}': None,
+        '{"messages": [{"role": "user"}, {"role": "user"}, {"content": "x"}]}': "messages",
+        '{"prompt": "a", "completion": "b", "more": "c"}': None,
+        r'{"prompt": "{\"messages\": [{}]}, \\\\", "completion": "\": "}': "prompt",
+    }
+    frame = spark.createDataFrame([(r,) for r in records], "record string").withColumn("said", F.col("record"))
+    got = {r.said: (r.layout, r.turns is None) for r in chat.canonical_turns(frame).collect()}
+    assert got == {r: (layout, layout is None) for r, layout in records.items()}
+
+
 # 10: suffix arrays
 
 
