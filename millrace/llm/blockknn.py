@@ -22,15 +22,21 @@ QUERY_TILE_ROWS = 1024
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, vector, dim`` without ids or vectors that are null, zero or not finite."""
+    """``vec_id, vector, dim`` without ids or vectors that are null, zero or not finite.
+
+    Repeated rows count once: in a tile they would take the places of other neighbours.
+    """
     vector = F.col("embedding").cast("array<double>")
     finite = F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
     return (
-        vectors.select("vec_id", vector.alias("vector"))
+        vectors.select("vec_id", "embedding", vector.alias("vector"))
         .where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
         .where(finite & F.exists("vector", lambda x: x != 0))
+        .select("vec_id", "embedding")
+        .distinct()
+        .select("vec_id", vector.alias("vector"))
         .withColumn("dim", F.size("vector"))
     )
 
@@ -71,8 +77,6 @@ def nearest_in_tile(queries: Tile, rows: Tile, k: int, heaps: list[list]) -> Non
         exact = np.sqrt(((rows.vectors[left] - queries.vectors[q]) ** 2).sum(axis=1))
         for distance, vec_id in zip(exact.tolist(), rows.ids[left].tolist()):
             item = (-distance, -vec_id)
-            if item in heap:  # a repeated row
-                continue
             if len(heap) < k:
                 heapq.heappush(heap, item)
             elif item > heap[0]:
@@ -173,8 +177,7 @@ def nearest(
         found = searched(block)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
-        found.dropDuplicates(["query_id", "vec_id", "score"])
-        .withColumn("rank", F.row_number().over(order))
+        found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
