@@ -124,9 +124,9 @@ def scan_licenses(docs: DataFrame, wordings: DataFrame) -> DataFrame:
     exact = votes.where("template is null or base and size(ats) = pairs")
     of_template = Window.partitionBy(*document, *WORDING).orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(of_template)
-    # One vote alone is a chance hit of two common words.
+    # A diagonal with one vote may be a part of a notice that a few words were added to.
     merged = (
-        votes.where("not base and size(ats) > 1")
+        votes.where("not base")
         .withColumn("apart", F.coalesce((gap > MAX_SHIFT).cast("int"), F.lit(0)))
         .withColumn("run", F.sum("apart").over(of_template))
         .groupBy(*document, *WORDING, "run")
