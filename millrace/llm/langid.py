@@ -22,7 +22,6 @@ GRAM_BITS = 16
 COUNT_BLOCK = 1 << 12
 SMOOTHING = 0.5
 ROUNDS = 6
-MOST_LANGUAGES = 3
 UNKNOWN = "und"
 
 
@@ -127,22 +126,31 @@ def mixtures(word_likelihood: np.ndarray, rows: np.ndarray, rounds: int = ROUNDS
 def choose(word_likelihood: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Proportions per row under the set of languages of best penalised likelihood.
 
-    Sets are the 1, 2, ... languages of largest proportion in the mixture of all; each
-    language more must gain log(words) in log-likelihood.
+    Sets are the 1, 2, ... up to all languages of largest proportion in the mixture of all;
+    each language more must gain log(words) in log-likelihood.  A row is done when even
+    the best language for each word would not make up for one language more.
     """
     full, _ = mixtures(word_likelihood, rows)
     order = np.argsort(-full, axis=1, kind="stable")
-    sizes = np.maximum(np.diff(rows), 1)
-    of_row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    sizes = np.diff(rows)
+    penalty = np.log(np.maximum(sizes, 1) + 1)
+    before = np.concatenate([[0], np.cumsum(word_likelihood.max(axis=1))])
+    most = before[rows[1:]] - before[rows[:-1]]
     best, score = np.zeros_like(full), np.full(len(full), -np.inf)
-    for k in range(1, min(MOST_LANGUAGES, full.shape[1]) + 1):
-        inside = np.zeros(full.shape, bool)
-        np.put_along_axis(inside, order[:, :k], True, axis=1)
-        kept = np.where(inside[of_row], word_likelihood, -np.inf)
-        share, likelihood = mixtures(kept, rows, ROUNDS)
-        penalised = likelihood - (k - 1) * np.log(sizes + 1)
-        better = penalised > score
-        best[better], score[better] = share[better], penalised[better]
+    for k in range(1, full.shape[1] + 1):
+        left = np.flatnonzero(most - (k - 1) * penalty > score)
+        if not len(left):
+            break
+        is_left = np.zeros(len(full), bool)
+        is_left[left] = True
+        inside = np.zeros((len(left), full.shape[1]), bool)
+        np.put_along_axis(inside, order[left, :k], True, axis=1)
+        some = word_likelihood[np.repeat(is_left, sizes)]
+        kept = np.where(np.repeat(inside, sizes[left], axis=0), some, -np.inf)
+        share, likelihood = mixtures(kept, np.concatenate([[0], np.cumsum(sizes[left])]), ROUNDS)
+        penalised = likelihood - (k - 1) * penalty[left]
+        better = penalised > score[left]
+        best[left[better]], score[left[better]] = share[better], penalised[better]
     return best
 
 
