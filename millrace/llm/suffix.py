@@ -5,8 +5,10 @@ have equal anchors, so runs are dealt to shards by anchor, together with the byt
 (an extract).  Anchors seen once need no look at any byte, and equal extracts are repeats
 by themselves; only different extracts of one anchor are compared.  Each shard of them gets
 a suffix array by Larsson-Sadakane refinement; the prefixes that neighbours in it have in
-common (Kasai's pairs) tell repeated runs.  An anchor with more extracts than a shard holds
-has several suffix arrays, which are merged by binary search of the runs of one in another.
+common (Kasai's pairs) tell repeated runs.  A shard that the last anchor fills over has two
+suffix arrays, which are merged by binary search of the runs of one in another.  Anchors
+with more extracts than a shard holds are hot: their runs are hashed and meet by hash, so that
+no task gets all extracts of one anchor.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ GRAM = 32
 PLACE_BITS = 24
 PIECE_BYTES = 8 << 20
 SHARD_BYTES = 1 << 20
+HASHED_BYTES = 1 << 18
 FIRST_BYTES = 8
 # Of 32 bytes each.
 WANTED_AT_ONCE = 2_000_000
@@ -137,6 +140,74 @@ def _cut_extracts(length: int):
     return run
 
 
+def _hashed_runs(length: int):
+    """A hash of each run of the listed extracts of each text, and one of where it stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = tokens.Powers()
+
+        def out(listed: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+            anchor, extract, runs = (np.array(c, np.int64) for c in list(zip(*listed))[:3])
+            sizes = runs + length - 1
+            at = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+            starts = np.repeat(np.cumsum(sizes) - sizes, runs) + at
+            data = np.frombuffer(b"".join(row[3] for row in listed), np.uint8)
+            sums = tokens.prefix_hashes(data, powers)
+            found = tokens.mixed((sums[starts + length] - sums[starts]) * powers.down[starts])
+            extract = np.repeat(extract, runs)
+            place = tokens.mixed(extract.view(np.uint64) + at.astype(np.uint64))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c.view(np.int64)) for c in (np.repeat(anchor, runs), extract, at, found, place)],
+                ["anchor", "extract", "run", "hash", "place"],
+            )
+
+        listed, filled = [], 0
+        for batch in _slices(batches):
+            data, offsets = tokens.flat(batch["text"])
+            for k, wanted in enumerate(batch["wanted"].to_pylist()):
+                body = data[offsets[k] : offsets[k + 1]]
+                for w in wanted:
+                    part = body[w["first"] : w["first"] + w["runs"] - 1 + length].tobytes()
+                    listed.append((w["anchor"], w["extract"], w["runs"], part))
+                    filled += len(part)
+                    if filled >= HASHED_BYTES:
+                        yield out(listed)
+                        listed, filled = [], 0
+        if listed:
+            yield out(listed)
+
+    return run
+
+
+def _hot_repeats(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``anchor, extract, from_run, to_run`` of repeated runs of hot anchors.
+
+    Copies of a text give the same place again, which is no repeat.
+    """
+    runs = (
+        docs.join(small(wanted, "wanted", WANTED_AT_ONCE), "text_key")
+        .select("text", "wanted")
+        .mapInArrow(_hashed_runs(length), "anchor long, extract long, run long, hash long, place long")
+    )
+    repeats = cut_lineage(
+        runs.groupBy("hash")
+        .agg(F.min("place").alias("low"), F.max("place").alias("high"))
+        .where("low <> high")
+        .select("hash")
+    )
+    listed = (
+        runs.join(small(repeats), "hash")
+        .groupBy("anchor", "extract")
+        .agg(F.array_sort(F.collect_set("run")).alias("found"))
+    )
+    # Runs in a row are one interval.
+    first = F.filter("found", lambda x, k: (k == 0) | (F.get("found", k - 1) < x - 1))
+    last = F.filter("found", lambda x, k: (k == F.size("found") - 1) | (F.get("found", k + 1) > x + 1))
+    return listed.select(
+        "anchor", "extract", F.explode(F.arrays_zip(first.alias("a"), last.alias("b"))).alias("span")
+    ).select("anchor", "extract", F.col("span.a").alias("from_run"), F.col("span.b").alias("to_run"))
+
+
 class SuffixArray:
     """Suffixes of ``data`` sorted by their first ``depth`` bytes at least.
 
@@ -278,7 +349,7 @@ def _compare_extracts(length: int):
                 if row[0] != before and (filled >= SHARD_BYTES or len(shards) > 1):
                     yield out(_shard_repeats(shards, length))
                     shards, filled = [[]], 0
-                elif filled >= SHARD_BYTES and shards[-1][0][0] == row[0]:
+                elif filled >= SHARD_BYTES:
                     shards.append([])
                     filled = 0
                 shards[-1].append(row)
@@ -308,12 +379,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             F.count("*").alias("n"), F.min(F.struct("text_key", "first", "runs")).alias("place")
         )
     )
-    unlike = extracts.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
-    wanted = cut_lineage(
-        extracts.join(unlike, "anchor")
-        .groupBy("place.text_key")
-        .agg(F.collect_list(F.struct("anchor", "extract", "place.first", "place.runs")).alias("wanted"))
-    )
+    # An extract has less than twice the bytes of a run, so that these fit a shard.
+    kinds = cut_lineage(extracts.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    is_hot = F.col("kinds") > SHARD_BYTES // (2 * length)
+
+    def by_text(some: DataFrame) -> DataFrame:
+        return cut_lineage(
+            extracts.join(some.select("anchor"), "anchor")
+            .groupBy("place.text_key")
+            .agg(F.collect_list(F.struct("anchor", "extract", "place.first", "place.runs")).alias("wanted"))
+        )
+
+    wanted = by_text(kinds.where(~is_hot))
     bodies = (
         docs.join(small(wanted, "wanted", WANTED_AT_ONCE), "text_key")
         .select("text", "wanted")
@@ -325,6 +402,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .sortWithinPartitions("anchor", "extract")
         .mapInArrow(_compare_extracts(length), "anchor long, extract long, from_run long, to_run long")
     )
+    hot = kinds.where(is_hot)
+    if not hot.isEmpty():
+        compared = compared.union(_hot_repeats(docs, by_text(hot), length))
     same = extracts.where("n > 1").select(
         "anchor", "extract", F.lit(0).cast("long").alias("from_run"), (F.col("place.runs") - 1).cast("long").alias("to_run")
     )
