@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blockknn, chat, decontaminate, jaccard, langid, licenses, mixing, mixlm, ordinal, suffix
+from millrace.llm import (
+    blockknn,
+    chat,
+    decontaminate,
+    jaccard,
+    langid,
+    lexical,
+    licenses,
+    mixing,
+    mixlm,
+    ordinal,
+    repeats,
+    sharding,
+    suffix,
+)
+from millrace.llm.text import computed, words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -182,6 +197,89 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removal_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's ten best documents."""
+    return lexical.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), vocabulary AS (SELECT DISTINCT term FROM item_terms),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_words FROM docs WHERE len(t) > 0),
+counts AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM vocabulary) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals GROUP BY term
+), lengths AS (
+  SELECT r, doc_id, 100 - 90 + ((90 * len(t) * n_docs) // n_words) AS m FROM docs, totals WHERE len(t) > 0
+), scores AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM item_terms JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (r)
+  GROUP BY item_id, r, doc_id HAVING score > 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scores
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in every tenth document by checksum, words repeat from some place on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    some = docs.select("doc_id", "text", F.coalesce(checksum % 10 == 0, F.lit(False)).alias("_planted"))
+    some = some.withColumn("_g", F.floor(checksum / 10))
+    some = computed(some, "_words", F.when(F.col("_planted"), words(F.col("text"))))
+    n = F.size("_words")
+    begin = F.col("_g") % n
+    period = 1 + F.floor((n - begin) / (3 + F.col("_g") % 8))
+    some = some.withColumn("_a", F.when(n > 0, begin)).withColumn("_p", F.when(n > 0, period))
+    place = lambda i: F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))
+    again = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.get(F.col("_words"), place(i.cast("long")).cast("int"))
+    )
+    return some.select(
+        "doc_id", F.when(F.col("_planted") & (n > 0), F.array_join(again, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words, found in documents some of which are made periodic first."""
+    found = repeats.periodic_runs(planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    listed = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    found = found.withColumn("longest", longest)
+    length, start, period = F.col("longest.length"), -F.col("longest.s"), -F.col("longest.p")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
@@ -193,5 +291,13 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_shards": op12_shards,
+    "op13_periodic_runs": op13_periodic_runs,
+}
+ORACLES = {
+    "op2_decontaminate": OP2_SQL,
+    "op6_neighbours": OP6_SQL,
+    "op9_chat": OP9_SQL,
+    "op11_ranked_search": OP11_SQL,
 }
-ORACLES = {"op2_decontaminate": OP2_SQL, "op6_neighbours": OP6_SQL, "op9_chat": OP9_SQL}
