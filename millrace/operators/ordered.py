@@ -3,8 +3,9 @@
 A window ``PARTITION BY key ORDER BY seq`` puts a whole key into one task.  That
 is fine for ordinary keys and hopeless for a key that holds a third of the table.
 Here the keys above a row limit are found first, from a sample of the key and order
-columns.  Without any, the plan is the plain window.  Otherwise the rows of the
-hot keys are cut into blocks along their order, so that
+columns.  Without any, the plan is the plain window.  Otherwise the rows of each
+hot key are cut into blocks along their order, at quantiles of the key's own part of the
+sample, so that
 
 * the window runs per ``(key, block)``, which is one shuffle and bounded groups;
 * the totals of the earlier blocks, a small table, are added to each row.
@@ -15,7 +16,7 @@ The result is exact either way: limits and samples only decide where to cut.
 from __future__ import annotations
 
 import json
-import math
+import warnings
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -25,18 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 20_000_000
-# The hot keys and the blocks' totals are broadcast: these two bound their size.
-# Should more keys than that be above the limit, the largest are split, and any other
-# key holds less than one part in MAX_HOT_KEYS of the table.
-MAX_HOT_KEYS = 20_000
-MAX_BLOCK_TOTALS = 1_000_000
-MAX_PIECES = 8_192
-SAMPLES_PER_PIECE = 25
+# The hot keys and the blocks' totals are broadcast: this bounds their number.  A table
+# needs more than that only above MAX_CUTS / 2 * max_rows rows (10^12 by default);
+# then the limit is raised to what fits, with a warning.
+MAX_CUTS = 100_000
 HITS_AT_LIMIT = 400
 
 HOT = "_hot"
 BLOCK = "_block"
-_STRIDE = "_stride"
 _CARRY_HOT = "_carry_hot"
 _CARRY_BLOCK = "_carry_block"
 
@@ -58,16 +55,14 @@ class Running:
 class Blocks:
     """How the rows of a frame are split: nothing to split when ``hot`` is empty.
 
-    All hot keys share the cuts; ``strides`` says for each how many neighbouring
-    pieces make one block, so that a smaller key gets fewer blocks.
-    ``bounds`` are values of the leading order columns ``cut_by``, as JSON.  A bound
-    may lose digits on the way, which moves the cut and changes nothing else.
+    ``bounds`` are, as JSON, a hot key's number and values of the leading order columns
+    ``cut_by``.  A block is known by how many bounds of all keys are at or below it.  A
+    bound may lose digits on the way, which moves the cut and changes nothing else.
     """
 
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
     hot: tuple[Row, ...] = ()
-    strides: tuple[int, ...] = ()
     bounds: tuple[str, ...] = ()
     cut_by: tuple[str, ...] = ()
 
@@ -83,34 +78,25 @@ class Blocks:
         """Adds the hot key number (null for ordinary keys) and the block number."""
         if not self.split:
             return df
-        hot_schema = df.select(*self.keys).schema
-        for name in (HOT, _STRIDE):
-            hot_schema = hot_schema.add(name, T.IntegerType())
+        hot_schema = df.select(*self.keys).schema.add(HOT, T.IntegerType())
         hot = df.sparkSession.createDataFrame(
-            [
-                (*row, number, stride)
-                for number, (row, stride) in enumerate(zip(self.hot, self.strides))
-            ],
-            hot_schema,
+            [(*row, number) for number, row in enumerate(self.hot)], hot_schema
         )
-        renamed = hot.toDF(*[f"_hot_{key}" for key in self.keys], HOT, _STRIDE)
+        renamed = hot.toDF(*[f"_hot_{key}" for key in self.keys], HOT)
         same_key = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in self.keys]
         marked = df.join(F.broadcast(renamed), same_key, "left")
-        block = F.call_function("div", self._piece_of(df), F.col(_STRIDE)).cast("int")
         return marked.withColumn(
-            BLOCK, F.when(F.col(HOT).isNotNull(), block).otherwise(0)
-        ).drop(*[f"_hot_{key}" for key in self.keys], _STRIDE)
+            BLOCK, F.when(F.col(HOT).isNotNull(), self._piece_of(marked)).otherwise(0)
+        ).drop(*[f"_hot_{key}" for key in self.keys])
 
     def _piece_of(self, df: DataFrame) -> Column:
         """Number of bounds at or below the row: a binary search over a literal array."""
         if not self.bounds:
             return F.lit(0)
-        names = self.cut_by
+        names = (HOT, *self.cut_by)
         element = T.ArrayType(df.select(*names).schema)
         bounds = F.from_json(F.lit(f"[{','.join(self.bounds)}]"), element)
         here = F.struct(*[F.col(name) for name in names])
-        if len(names) == 1:
-            bounds, here = bounds.getField(names[0]), F.col(names[0])
         # Folded into one literal array while planning.
         bounds = F.sort_array(bounds)
         top = 1 << (len(self.bounds).bit_length() - 1)
@@ -132,8 +118,10 @@ def plan_blocks(
     """Finds the keys with about ``max_rows`` rows or more, and where to cut them.
 
     One scan of the key and order columns draws a sample in which a key at the limit
-    shows up ``HITS_AT_LIMIT`` times, so no hot key is overlooked.  The driver
-    receives the hot keys and the cut points.
+    shows up ``HITS_AT_LIMIT`` times, so no hot key is overlooked.  Samples of parts of the
+    table add up to one of the whole, and a hot key's share of it, in order, gives the
+    quantiles at which the key is cut: blocks hold about half the limit wherever its rows
+    lie.  The driver receives the hot keys and the cut points.
     """
     keys, order_by = tuple(keys), tuple(order_by)
     fraction = min(1.0, HITS_AT_LIMIT / max_rows)
@@ -142,52 +130,48 @@ def plan_blocks(
         sample = sample.sample(fraction=fraction, seed=0)
     sample = sample.persist()
     try:
-        hot = (
-            sample.groupBy(*keys)
-            .count()
-            .where(F.col("count") > max_rows * fraction)
-            .orderBy(F.desc("count"))
-            .limit(MAX_HOT_KEYS)
-            .collect()
-        )
+        counts = sample.groupBy(*keys).count()
+        limit = _limit(counts, max_rows * fraction)
+        hot = counts.where(F.col("count") > limit).collect()
         if not hot:
             return Blocks(keys, order_by)
-        hot_keys = tuple(Row(*row[:-1]) for row in hot)
-        counts = [row[-1] for row in hot]
-        sampled = sum(counts)
-        # Blocks aim at half the limit; a key gets at most four per limit and one more.
-        limit = max(
-            max_rows * fraction, 4 * sampled / (MAX_BLOCK_TOTALS - MAX_HOT_KEYS)
-        )
-        pieces = min(math.ceil(2 * sampled / limit), MAX_PIECES)
-        strides = tuple(max(1, int(pieces * limit / (2 * n))) for n in counts)
-        of_hot_keys = (
-            Blocks(keys, order_by, hot_keys, strides)
+        hot_keys = tuple(Row(*row[:-1]) for row in sorted(hot, key=lambda row: -row[-1]))
+        in_order = Window.partitionBy(HOT).orderBy(*[F.asc_nulls_first(name) for name in order_by])
+        found = (
+            Blocks(keys, order_by, hot_keys)
             .mark(sample)
             .where(F.col(HOT).isNotNull())
-        )
-        thinned = of_hot_keys.select(*order_by).sample(
-            fraction=min(1.0, SAMPLES_PER_PIECE * pieces / sampled), seed=1
-        )
-        in_order = (
-            thinned.orderBy(*order_by)
-            .select(F.to_json(F.struct(*order_by)))
+            .select(HOT, *order_by, F.row_number().over(in_order).alias(BLOCK))
+            .where(F.col(BLOCK) % max(1, int(limit / 2)) == 0)
+            .orderBy(HOT, BLOCK)
+            .select(F.to_json(F.struct(HOT, *order_by)))
             .collect()
         )
     finally:
         sample.unpersist()
-    step = max(1, len(in_order) // pieces)
-    cuts = [json.loads(text) for (text,) in in_order[step::step]]
-    cut_by, bounds = _leading(cuts, order_by)
-    return Blocks(keys, order_by, hot_keys, strides, bounds, cut_by)
+    cut_by, bounds = _leading([json.loads(text) for (text,) in found], order_by)
+    return Blocks(keys, order_by, hot_keys, bounds, cut_by)
+
+
+def _limit(counts: DataFrame, limit: float) -> float:
+    """Sampled rows above which a key is hot: ``limit``, unless that makes too many cuts."""
+    in_hot = counts.where(F.col("count") > limit).agg(F.sum("count")).first()[0] or 0
+    least = 2 * in_hot / MAX_CUTS
+    if least > limit:
+        warnings.warn(
+            f"blocks are {least / limit:.1f} times as large as asked for: "
+            f"the rows of the hot keys would need more than {MAX_CUTS} cuts",
+            stacklevel=3,
+        )
+    return max(limit, least)
 
 
 def _leading(
     cuts: Sequence[dict], order_by: tuple[str, ...]
 ) -> tuple[tuple[str, ...], tuple[str, ...]]:
-    """The fewest leading order columns that tell the cuts apart."""
+    """The fewest leading order columns that tell the cuts of each key apart."""
     for length in range(1, len(order_by) + 1):
-        names = order_by[:length]
+        names = (HOT, *order_by[:length])
         texts = [
             json.dumps({name: cut[name] for name in names if name in cut})
             for cut in cuts
@@ -195,7 +179,7 @@ def _leading(
         # A value that stands for many cuts would be one huge block.
         repeats = max(Counter(texts).values(), default=0)
         if length == len(order_by) or repeats <= 2:
-            return names, tuple(dict.fromkeys(texts))
+            return order_by[:length], tuple(dict.fromkeys(texts))
     return order_by, ()
 
 
@@ -270,7 +254,7 @@ def running(
     in_block = marked.select(
         "*", *[local(spec).alias(f"_local_{name}") for name, spec in columns.items()]
     )
-    # At most MAX_BLOCK_TOTALS rows of a few numbers each.
+    # At most 1.5 * MAX_CUTS rows of a few numbers each.
     joined = in_block.join(
         F.broadcast(carry),
         (F.col(HOT) == F.col(_CARRY_HOT)) & (F.col(BLOCK) == F.col(_CARRY_BLOCK)),

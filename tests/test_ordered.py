@@ -208,6 +208,51 @@ def test_smaller_hot_keys_get_fewer_blocks(spark):
     assert numbered.count() == 30_000
 
 
+def clustered(spark, keys=40, rows=20_000):
+    """Each key's rows lie together along the order, all keys far apart."""
+    return spark.range(keys * rows).selectExpr(
+        f"id DIV {rows} AS key", f"(id DIV {rows}) * 10000000 + (id * 7919) % {rows} AS seq"
+    )
+
+
+def test_clustered_hot_keys_have_their_own_cuts(spark):
+    df = clustered(spark)
+    blocks = plan_blocks(df, ["key"], ["seq"], 1_000)
+    assert len(blocks.hot) == 40
+    marked = blocks.mark(df)
+    sizes = marked.groupBy("key", ordered.BLOCK).count().collect()
+    assert max(row["count"] for row in sizes) <= 1_000
+    assert len(sizes) <= 40 * 50
+    wrong = running(marked, blocks, {"n": Running("sum", F.lit(1))}).where(
+        "n <> seq % 10000000 + 1"
+    )
+    assert wrong.isEmpty()
+
+
+def test_clustered_keys_in_all_operators(spark):
+    df = clustered(spark, 6, 500).withColumn("name", F.expr("'v'"))
+    few, many = (
+        tuples(changelog_count(df, ["key"], ["seq"], max_rows=limit))
+        for limit in (50, NO_SPLIT)
+    )
+    assert few == many
+    few, many = (
+        tuples(count_windows(df, ["key"], ["seq"], 7, {"n": F.sum("seq")}, max_rows=limit))
+        for limit in (50, NO_SPLIT)
+    )
+    assert few == many
+
+
+def test_too_many_cuts_are_said(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_CUTS", 50)
+    df = clustered(spark, 10, 1_000)
+    with pytest.warns(UserWarning, match="more than 50 cuts"):
+        blocks = plan_blocks(df, ["key"], ["seq"], 100)
+    assert 20 <= len(blocks.bounds) <= 50
+    sizes = blocks.mark(df).groupBy("key", ordered.BLOCK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 500
+
+
 def brute_force(rows, within=None):
     matches = []
     for key, group in by_key(rows).items():

@@ -462,10 +462,12 @@ def test_long_chains_come_in_pieces(monkeypatch):
 
     monkeypatch.setattr(stateful, "ROW_LIMIT", 3)
     starts, middles = np.array([0, 2, 4, 5]), np.array([1, 3, 6, 7])
-    pieces = list(stateful._extended(np.array([[8]]), [starts, middles]))
-    found = sorted(tuple(map(int, row)) for piece in pieces for row in piece)
-    expected = sorted(
-        (s, m, 8) for s, m in itertools.product(starts, middles) if s < m < 8
-    )
-    assert found == expected
-    assert max(len(piece) for piece in pieces) <= 4
+    for low in (0, 2, 5):
+        chains = np.array([[8]]), np.array([low])
+        pieces = list(stateful._extended(*chains, [starts, middles]))
+        found = sorted(tuple(map(int, row)) for piece in pieces for row in piece)
+        expected = sorted(
+            (s, m, 8) for s, m in itertools.product(starts, middles) if low <= s < m < 8
+        )
+        assert found == expected
+        assert max(len(piece) for piece in pieces) <= 4
