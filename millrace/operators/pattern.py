@@ -29,6 +29,7 @@ _BUCKET = "_bucket"
 _SALT = "_salt"
 _SALTS = "_salts"
 _SPREAD = "_spread_stage"
+_FRESH = "_fresh"
 
 
 @dataclass(frozen=True)
@@ -145,9 +146,14 @@ def pattern_matches(
     *,
     within: timedelta | None = None,
     max_rows: int = DEFAULT_MAX_ROWS,
+    fresh: str | None = None,
 ) -> DataFrame:
     """Every match: the keys and, per stage, a struct of ``columns``.
 
+    With a boolean column ``fresh``, only matches with at least one row where it is true,
+    each once.  They are joined by the first stage that takes a fresh row, known
+    rows before it and any after it, so known rows are not joined with each other alone.
+
     ``order_by`` must be unique within a key; with ``within`` its first column is
     the event time and the last row of a match is at most that much later than the
     first.  Give a bound whenever one makes sense: the number of matches grows with
@@ -160,7 +166,8 @@ def pattern_matches(
     the second stage is split further by a salt.
     """
     spark = df.sparkSession
-    staged = _staged(df, keys, [*order_by, *columns], stages)
+    carried = [*order_by, *columns, *([] if fresh is None else [fresh])]
+    staged = _staged(df, keys, carried, stages)
     checkpoint_root(spark)
     rows = _only_participants(
         staged, keys, order_by, stages, within, max_rows
@@ -185,6 +192,7 @@ def pattern_matches(
             F.struct(*order_by).alias(f"_at_{position}"),
             F.col(f"_to_{position}"),
             F.struct(*columns).alias(stages[position].name),
+            *([] if fresh is None else [F.col(fresh).alias(f"{_FRESH}_{position}")]),
         )
 
     group = [*keys, _BUCKET]
@@ -197,17 +205,62 @@ def pattern_matches(
         ]
         group = [*group, _SALT]
 
-    matches = parts[0]
-    for position in range(1, len(parts)):
-        matches = matches.join(parts[position], group).where(
-            F.col(f"_at_{position}") > F.col(f"_at_{position - 1}")
+    if fresh is None:
+        matches = _joined(parts, group, ts, within)
+    else:
+        # One join for each stage that may be the first with a fresh row.
+        matches = reduce(
+            DataFrame.unionByName,
+            [
+                _joined(
+                    [
+                        _of_age(part, position, None if position > first else position == first)
+                        for position, part in enumerate(parts)
+                    ],
+                    group,
+                    ts,
+                    within,
+                    first,
+                )
+                for first in range(len(parts))
+            ],
+        )
+    return matches.select(*keys, *[stage.name for stage in stages])
+
+
+def _of_age(part: DataFrame, position: int, fresh: bool | None) -> DataFrame:
+    """Rows that are fresh, or known from before, or either."""
+    if fresh is None:
+        return part
+    flag = F.col(f"{_FRESH}_{position}")
+    return part.where(flag if fresh else ~flag)
+
+
+def _joined(
+    parts: Sequence[DataFrame],
+    group: Sequence[str],
+    ts: str,
+    within: timedelta | None,
+    first: int = 0,
+) -> DataFrame:
+    """Chains of one row from each part, in order and within the bound.
+
+    They are built from the part ``first``, to the front and then to the back.
+    """
+    matches = parts[first]
+    for position in [*range(first - 1, -1, -1), *range(first + 1, len(parts))]:
+        back = position > first
+        before, after = (position - 1, position) if back else (position, position + 1)
+        matches = matches.join(parts[position], list(group)).where(
+            F.col(f"_at_{after}") > F.col(f"_at_{before}")
         )
         if within is not None:
-            start, reach = F.col(f"_at_0.{ts}"), F.col(f"_to_{position}.{ts}")
+            begin, end = (0, position) if back else (position, first)
+            start, reach = F.col(f"_at_{begin}.{ts}"), F.col(f"_to_{end}.{ts}")
             matches = matches.where(
                 _micros(reach) - _micros(start) <= _as_micros(within)
             )
-    return matches.select(*keys, *[stage.name for stage in stages])
+    return matches
 
 
 def _crowded(
