@@ -16,7 +16,8 @@ from millrace.sinks import catalog as catalog_sink
 from millrace.sinks import files as file_sink
 from millrace.sinks import jdbc as jdbc_sink
 from millrace.sinks import kafka as kafka_sink
-from millrace.sources import catalog, files, jdbc, kafka
+from millrace.sources import catalog, files, jdbc, kafka, splitcsv
+from millrace.streaming.run import appended
 
 JDBC_URL = "spark.millrace.jdbc.url"
 
@@ -53,8 +54,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("value", F.col("value").cast("double"))
 
 
-def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with line breaks, quotes, outer blanks, empty ones and nulls, there and back."""
+def _texts_written(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """Files of texts with line breaks, quotes, outer blanks, empty ones and nulls."""
     path = scratch_path(spark, "csv-texts")
     texts = tables.table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -65,7 +66,26 @@ def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("text"),
     )
     file_sink.write_csv(texts, path, null_text=NULL_TEXT)
-    return files.read_csv(spark, path, texts.schema, null_text=NULL_TEXT, multi_line=True)
+    return path, texts.schema
+
+
+def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read file by file."""
+    path, schema = _texts_written(spark, sf_dir)
+    return files.read_csv(spark, path, schema, null_text=NULL_TEXT, multi_line=True)
+
+
+def csv_texts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read in chunks of files, whatever quoted line breaks they hold."""
+    path, schema = _texts_written(spark, sf_dir)
+    return splitcsv.read_split_csv(spark, path, schema, null_text=NULL_TEXT)
+
+
+def stream_csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read as a stream."""
+    path, schema = _texts_written(spark, sf_dir)
+    texts = files.stream_csv(spark, path, schema, null_text=NULL_TEXT, multi_line=True)
+    return appended(texts, "csv-texts-read")
 
 
 def tab_csv_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,6 +273,8 @@ QUERIES = {
     for function in (
         csv_roundtrip,
         csv_texts,
+        csv_texts_split,
+        stream_csv_texts,
         csv_rejects,
         kafka_keys,
         kafka_rejects,
@@ -265,11 +287,15 @@ QUERIES = {
     )
 }
 
-ORACLES = {
-    "csv_texts": r"""
+_TEXTS = r"""
         SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL
                  WHEN 2 THEN ' "' || text || '\,  ' ELSE text END AS text
-        FROM documents""",
+        FROM documents"""
+
+ORACLES = {
+    "csv_texts": _TEXTS,
+    "csv_texts_split": _TEXTS,
+    "stream_csv_texts": _TEXTS,
     "csv_rejects": """
         SELECT o_orderkey || ',none' AS line FROM orders WHERE o_orderstatus = 'F'""",
     "kafka_keys": """

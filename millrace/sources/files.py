@@ -36,14 +36,16 @@ def read_csv(
     """Rows of delimited files, blanks kept; a malformed row has nulls.
 
     ``null_text`` stands for null; with the default, empty texts are null, too.
-    ``multi_line`` reads quoted line breaks, and each file in one task.
+    ``multi_line`` reads quoted line breaks, and each file in one task;
+    ``splitcsv.read_split_csv`` reads large files of that kind.
     """
     return spark.read.schema(schema).csv(
-        path, **_csv_options(delimiter, null_text), header=header, multiLine=multi_line
+        path, **csv_options(delimiter, null_text), header=header, multiLine=multi_line
     )
 
 
-def _csv_options(delimiter: str, null_text: str) -> dict:
+def csv_options(delimiter: str, null_text: str) -> dict:
+    """How ``write_csv`` writes and all readers here read."""
     return {
         "sep": delimiter,
         "nullValue": null_text,
@@ -64,7 +66,7 @@ def rejected_csv(
         f"`{field.name}` {field.dataType.simpleString()}"
         for field in [*schema.fields, T.StructField("_line", T.StringType())]
     )
-    options = {name: str(value) for name, value in _csv_options(delimiter, "").items()}
+    options = {name: str(value) for name, value in csv_options(delimiter, "").items()}
     record = F.from_csv("value", watched, {**options, "columnNameOfCorruptRecord": "_line"})
     return (
         read_text(spark, path)
@@ -79,9 +81,15 @@ def stream_csv(
     schema: T.StructType,
     *,
     delimiter: str = ",",
+    header: bool = False,
+    null_text: str = "",
+    multi_line: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
+    """The streaming form of :func:`read_csv`, with the same treatment of values."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder, sep=delimiter)
+    return reader.csv(
+        folder, **csv_options(delimiter, null_text), header=header, multiLine=multi_line
+    )
