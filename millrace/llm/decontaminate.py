@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import computed, cut_lineage, words
+from millrace.llm.text import computed, cut_lineage, free_name, small, words
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -144,6 +144,8 @@ def contained_items(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that contain an item; all columns as they were."""
+    names = [free_name(docs, "id_hash"), free_name(docs, "text_hash")]
     bad = contained_items(docs, benchmark).select("id_hash", "text_hash").distinct()
-    marked = docs.select("*", *_document_keys())
-    return marked.join(bad, ["id_hash", "text_hash"], "left_anti").select(*docs.columns)
+    bad = small(cut_lineage(bad.toDF(*names)))
+    marked = docs.select("*", *[key.alias(name) for key, name in zip(_document_keys(), names)])
+    return marked.join(bad, names, "left_anti").select(*docs.columns)

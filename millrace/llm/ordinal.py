@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import tokens
+from millrace.llm.text import free_name
 FEATURE_BITS = 18
 SAMPLE_ROWS = 20_000
 GRADES = 3
@@ -163,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return np.frombuffer(model["model"], np.float32)
 
 
-def _score(model):
+def _score(model, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = tokens.Powers()
         weights, thresholds = model.value[: 1 << FEATURE_BITS], model.value[1 << FEATURE_BITS :]
@@ -176,23 +177,25 @@ def _score(model):
                 tails[at:to] = _logistic(score[:, None] - thresholds[None, :])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
-                [*batch.schema.names, "_expected", "_tail"],
+                [*batch.schema.names, *names],
             )
 
     return run
 
 
 def rate(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``_expected`` (grade, 0 to 2) and ``_tail`` (chance of the top grade).
+    """``docs`` with ``_expected`` (grade, 0 to 2) and ``_tail`` (chance of the top grade) at the end.
 
-    Reads ``text`` (null: empty) and, to find labelled rows, ``doc_id``.  Every row is rated
+    A name that ``docs`` has already gets underscores more.  Reads ``text`` (null: empty) and, to find labelled rows, ``doc_id``.  Every row is rated
     by its own text alone; an empty table gives an empty one.  Trains when called.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample_rows))
-    schema = T.StructType([*docs.schema.fields, T.StructField("_expected", T.DoubleType()), T.StructField("_tail", T.DoubleType())])
-    return docs.mapInArrow(_score(model), schema)
+    names = [free_name(docs, "_expected"), free_name(docs, "_tail")]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(name, T.DoubleType()) for name in names]])
+    return docs.mapInArrow(_score(model, names), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least_tail: float = 0.5) -> DataFrame:
     """``docs`` without the rows whose chance of the top grade is below ``least_tail``."""
-    return rate(docs, labels).where(F.col("_tail") >= least_tail).select(*docs.columns)
+    rated = rate(docs, labels)
+    return rated.where(F.col(rated.columns[-1]) >= least_tail).select(*docs.columns)

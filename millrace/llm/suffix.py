@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import tokens
-from millrace.llm.text import cut_lineage, small
+from millrace.llm.text import cut_lineage, free_name, small
 
 LENGTH = 200
 GRAM = 32
@@ -454,14 +454,14 @@ def _digest(length: int):
     return run
 
 
-def _cut_text(length: int, names: list[str]):
+def _cut_text(length: int, names: list[str], spans_name: str):
     """Texts without their repeated spans, which shrink to whole characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             texts, stays = batch["text"].to_pylist(), [True] * len(batch)
-            for k, spans in enumerate(batch["spans"].to_pylist()):
-                if spans:
+            for k, spans in enumerate(batch[spans_name].to_pylist()):
+                if spans and texts[k]:
                     body = texts[k].encode()
                     parts, at = [], 0
                     for a, b in merged_spans(spans, len(body), length):
@@ -479,10 +479,13 @@ def _cut_text(length: int, names: list[str]):
     return run
 
 
-def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    spans = cut_lineage(repeated_spans(keyed.select("text_key", "text"), length))
-    return keyed.join(small(spans, "spans"), "text_key", "left")
+def _with_spans(docs: DataFrame, length: int) -> tuple[DataFrame, str]:
+    """``docs`` with a column of spans more, and its name."""
+    key, spans = free_name(docs, "text_key"), free_name(docs, "spans")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = cut_lineage(repeated_spans(keyed.select(F.col(key).alias("text_key"), "text"), length))
+    found = small(found, "spans").withColumnsRenamed({"text_key": key, "spans": spans})
+    return keyed.join(found, key, "left").select(*docs.columns, spans), spans
 
 
 def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -492,8 +495,8 @@ def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``length`` UTF-8 bytes over it also starts elsewhere in any row, its own included.  Null
     text is empty.  Equal texts are known by 64-bit hashes.  Runs jobs when called.
     """
-    marked = _with_spans(docs.select("doc_id", "text"), length)
-    return marked.select("doc_id", "text", "spans").mapInArrow(
+    marked, _ = _with_spans(docs.select("doc_id", "text"), length)
+    return marked.mapInArrow(
         _digest(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -503,5 +506,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Spans shrink to whole characters.  Other columns are as they were.
     """
-    marked = _with_spans(docs, length).select(*docs.columns, "spans")
-    return marked.mapInArrow(_cut_text(length, docs.columns), docs.schema)
+    marked, spans = _with_spans(docs, length)
+    return marked.mapInArrow(_cut_text(length, docs.columns, spans), docs.schema)

@@ -33,6 +33,14 @@ def null_safe_key(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), value), F.lit(""))
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, lengthened until no column of ``df`` has that name."""
+    taken = {name.lower() for name in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows written once to the shared checkpoint folder and read from there."""
     checkpoint_root(df.sparkSession)

@@ -246,16 +246,16 @@ def test_grades(spark):
         labels.append((k, int(kind != 1), int(kind == 0)))
     labels += [(None, 1, 0), (1, None, None), (5000, 1, 0)]
     wide = [(*r, None, None, 0, 0, 0, 0, 0, 0.0) for r in listed + [(7000, None), (7001, ""), (7002, prose(9, 20_000))]]
-    docs = documents(spark, wide).drop("_tail")
+    docs = documents(spark, wide)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in ordinal.rate(docs, marks).collect()}
-    assert len(got) == len(wide) and all(0 <= r._tail <= 1 and 0 <= r._expected <= 2 for r in got.values())
-    right = sum((got[k]._tail >= 0.5) == (k % 3 == 2) for k in range(300))
+    assert len(got) == len(wide) and all(0 <= r._tail_ <= 1 and 0 <= r._expected <= 2 for r in got.values())
+    right = sum((got[k]._tail_ >= 0.5) == (k % 3 == 2) for k in range(300))
     assert right >= 295
     assert np.mean([got[k]._expected for k in range(0, 300, 3)]) < np.mean([got[k]._expected for k in range(1, 300, 3)])
     assert ordinal.keep_good(docs, marks).columns == docs.columns
     assert ordinal.rate(docs.limit(0), marks).count() == 0
-    assert {r._tail for r in ordinal.rate(docs, marks.limit(0)).collect()} == {0.5}
+    assert {r._tail_ for r in ordinal.rate(docs, marks.limit(0)).collect()} == {0.5}
 
 
 # 8: licenses
