@@ -9,15 +9,20 @@ pieces, at most two for each chunk.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.sources.files import csv_options
 
+# What runs in tasks travels with the job: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WHOLE, HEAD, TAIL = 0, 1, 2  # a record, the end of one, the begin of one
 _CHUNK = ("_file", "_block")
 # Chunks are as large as the scan's splits: this many are 100 TB at 128 MB.

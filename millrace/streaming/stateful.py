@@ -49,13 +49,13 @@ def _in_order(
 
 
 def _per_key(
-    df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema
+    df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema, time: str = "none"
 ) -> DataFrame:
     numbers = [f"c{df.columns.index(key)}" for key in keys]
     return (
         _numbered(df)
         .groupBy(*numbers)
-        .transformWithStateInPandas(processor, schema, "append", "none")
+        .transformWithStateInPandas(processor, schema, "append", time)
     )
 
 
@@ -223,7 +223,12 @@ def _extended(
 
 
 class _Pattern(StatefulProcessor):
-    """Keeps the rows of all stages, as far back as a late row's matches reach."""
+    """Keeps the rows of all stages, as far back as a late row's matches reach.
+
+    New rows are added to those kept; these are written anew only when half of them are too
+    old, so a row is written about twice in all.  A timer at the key's newest row ends an
+    idle key: once the watermark is there, no row to come can match any of its rows.
+    """
 
     def __init__(
         self, input_names, keys, order_by, stages, columns, within, lateness, state_schema
@@ -235,25 +240,56 @@ class _Pattern(StatefulProcessor):
         self._names = state_schema.names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
         self._kept = handle.getListState("kept", self._state_schema)
+        self._newest = handle.getValueState("newest", "micros long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = _in_order(rows, self._input_names, self._order_by)[self._names]
         old = pd.DataFrame(list(self._kept.get()), columns=self._names)
+        held = len(old)
+        seen = self._newest.get()[0] if self._newest.exists() else None
+        if seen is not None:
+            old = old[old["_micros"] >= seen - self._within - self._lateness]
         known = pd.concat([old, new], ignore_index=True) if len(old) else new
         fresh = np.arange(len(known)) >= len(old)
         order = known.sort_values(self._order_by, kind="stable").index.to_numpy()
-        known, fresh = known.loc[order].reset_index(drop=True), fresh[order]
-        micros = known["_micros"].to_numpy(dtype="int64")
+        in_order, fresh = known.loc[order].reset_index(drop=True), fresh[order]
+        micros = in_order["_micros"].to_numpy(dtype="int64")
         flags = [
-            known[f"_is_{position}"].to_numpy(dtype=bool)
+            in_order[f"_is_{position}"].to_numpy(dtype=bool)
             for position in range(len(self._stages))
         ]
-        yield from self._matches(known, micros, flags, fresh, key)
-        kept = known[micros >= micros.max() - self._within - self._lateness]
-        self._kept.clear()
-        for first in range(0, len(kept), ROW_LIMIT):
-            chunk = kept.iloc[first : first + ROW_LIMIT].astype(object)
+        yield from self._matches(in_order, micros, flags, fresh, key)
+        newest = int(max(micros[-1], seen if seen is not None else micros[-1]))
+        horizon = newest - self._within - self._lateness
+        still = int((old["_micros"] >= horizon).sum()) if len(old) else 0
+        if 2 * still <= held:
+            self._kept.clear()
+            self._keep(known[known["_micros"] >= horizon])
+        else:
+            self._keep(new[new["_micros"] >= horizon])
+        self._newest.update((newest,))
+        if seen is None:
+            self._wake(newest)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._newest.exists():
+            newest = self._newest.get()[0]
+            if newest // 1000 + 1 > timerValues.getCurrentWatermarkInMs():  # rows came since
+                self._wake(newest)
+            else:
+                self._kept.clear()
+                self._newest.clear()
+        yield from ()
+
+    def _wake(self, newest: int) -> None:
+        """One timer a key, just behind its newest row."""
+        self._handle.registerTimer(newest // 1000 + 1)
+
+    def _keep(self, rows: pd.DataFrame) -> None:
+        for first in range(0, len(rows), ROW_LIMIT):
+            chunk = rows.iloc[first : first + ROW_LIMIT].astype(object)
             chunk = chunk.where(chunk.notna(), None)
             self._kept.appendList(list(chunk.itertuples(index=False, name=None)))
 
@@ -294,7 +330,9 @@ def stream_pattern_matches(
 
     A match is given once any of its rows arrives and the others are known, in whatever
     order: rows are kept for ``within`` plus ``lateness`` behind their key's greatest event
-    time.  Rows without key or event time match nothing.
+    time, and go with it when the watermark, as far behind the greatest event time of
+    all, has passed it.  A row that comes behind the watermark is dropped.  Rows without key
+    or event time match nothing.
     """
     ts = order_by[0]
     names = [stage.name for stage in stages]
@@ -312,7 +350,10 @@ def stream_pattern_matches(
         *dict.fromkeys([*keys, *order_by, *columns]),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_micros"),
         *flags,
+        F.col(ts).cast("timestamp").alias("_event"),
     )
+    delay = (within + lateness) // timedelta(microseconds=1)
+    prepared = prepared.withWatermark("_event", f"{delay} microseconds")
     state_schema = T.StructType(
         [
             *_schema(prepared, list(dict.fromkeys([*order_by, *columns]))),
@@ -343,4 +384,4 @@ def stream_pattern_matches(
         lateness // timedelta(microseconds=1),
         state_schema,
     )
-    return _per_key(prepared, keys, processor, schema)
+    return _per_key(prepared, keys, processor, schema, "eventTime")

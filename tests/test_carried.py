@@ -16,6 +16,7 @@ from millrace.operators.pattern import Stage, pattern_matches
 from millrace.plans import arrivals
 from millrace.streaming import flush, late, microbatch
 from millrace.streaming.run import all_batches, run_append
+from millrace.streaming.stateful import stream_pattern_matches
 from millrace.streaming.watermarks import with_watermark
 from tests.fixtures import tuples
 
@@ -94,6 +95,33 @@ def test_idle_keys_of_a_pattern_end(spark, tmp_path, monkeypatch):
     assert len(held) == 1
 
 
+def test_timers_end_the_state_of_idle_keys(spark, tmp_path):
+    source = Source(spark, tmp_path / "in")
+    kinds = [Stage("one", F.col("seq") % 2 == 0), Stage("two", F.col("seq") % 2 == 1)]
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run(rows):
+        source.add(rows)
+        matches = stream_pattern_matches(
+            source.stream(), ["key"], ["ts", "seq"], kinds, ["seq"], within=timedelta(hours=2)
+        )
+        run_append(matches, out, checkpoint).awaitTermination()
+        state = spark.read.format("statestore").option("stateVarName", "newest").load(checkpoint)
+        return state.count()
+
+    rows = [(f"k{n % 7}", moment(n / 100), n) for n in range(100)]
+    assert run(rows) == 7
+    more = [("k1", moment(2.5), 101), ("k2", moment(2.5), 102)]
+    assert run(more) == 7
+    # The watermark passes all but the new key, also the timers that were set anew.
+    assert run([("z", moment(500), 104)]) == 1
+    assert run([("z", moment(900), 106), ("z", moment(901), 107)]) == 1
+    whole = spark.createDataFrame([*rows, *more, ("z", moment(900), 106), ("z", moment(901), 107)], EVENT)
+    expected = pattern_matches(whole, ["key"], ["ts", "seq"], kinds, ["seq"], within=timedelta(hours=2))
+    found = spark.read.parquet(out).select("key", "one_seq", "two_seq")
+    assert tuples(found) == tuples(expected.select("key", "one.seq", "two.seq")) and found.count() > 50
+
+
 @pytest.mark.parametrize("within", [None, timedelta(hours=30)])
 def test_fresh_matches_are_the_new_ones(spark, within):
     rows = [(f"k{n % 3}", moment(n), n, n % 5 in (1, 3)) for n in range(60)]
