@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from datetime import timedelta
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +19,6 @@ from millrace.operators.pattern import (
     pattern_counts,
     pattern_matches,
 )
-from millrace.operators.tablefunctions import register_table_functions
-from millrace.operators.windowrows import window_rows
 from millrace.plans.tables import table
 from millrace.sources import generated
 from millrace.streaming.watermarks import split_by_wall_clock
@@ -151,15 +148,6 @@ def props_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.flat_map_rows(events, pairs, schema)
 
 
-def props_by_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by a table function called in SQL."""
-    register_table_functions(spark)
-    return spark.sql(
-        "SELECT id AS event_id, name, number FROM json_members(TABLE(SELECT event_id AS id, props AS text FROM {events}))",
-        events=table(spark, sf_dir, "events"),
-    )
-
-
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = parse.explode_words(table(spark, sf_dir, "documents"), "text")
     return relational.grouped_count(words, ["word"], "frequency")
@@ -397,52 +385,9 @@ def generated_random_argmax_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _gaps(key: tuple, batches) -> list[tuple]:
-    """Rows of a window, and the longest time between two in a row, -1 for a single row."""
-    count, longest, last = 0, -1, None
-    for batch in batches:
-        micros = batch["ts"].cast("int64").to_numpy()
-        steps = np.diff(micros) if last is None else np.diff(micros, prepend=last)
-        if len(steps):
-            longest = max(int(steps.max()), longest)
-        count, last = count + len(micros), micros[-1]
-    return [(count, longest)]
-
-
-GAPS = T.StructType([T.StructField("n", T.LongType()), T.StructField("longest_gap", T.LongType())])
-
-
-def window_gap_user_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A function over the rows of each user's day."""
-    events = table(spark, sf_dir, "events").select("ts", "user_id")
-    return window_rows(events, "ts", "1 day", ["user_id"], ["ts"], _gaps, GAPS)
-
-
-def window_gap_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over global windows."""
-    events = table(spark, sf_dir, "events").select("ts")
-    return window_rows(events, "ts", "1 hour", [], ["ts"], _gaps, GAPS)
-
-
-def _middle(key: tuple, batches) -> list[tuple]:
-    """The lower median; of the rows, their values are held only."""
-    values = np.sort(np.concatenate([batch["value"].to_numpy(zero_copy_only=False) for batch in batches]))
-    return [(float(values[(len(values) - 1) // 2]),)]
-
-
-def window_median_type_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("ts", "event_type", "value")
-    median = T.StructType([T.StructField("median_value", T.DoubleType())])
-    return window_rows(events, "ts", "6 hours", ["event_type"], [], _middle, median)
-
-
 QUERIES = {
     function.__name__: function
     for function in (
-        props_by_table_function,
-        window_gap_user_1d,
-        window_gap_1h,
-        window_median_type_6h,
         tumble_count_user_1h,
         tumble_multi_agg_5m,
         window_argmax_1h,
@@ -521,25 +466,6 @@ _CHANGES = """
     WHERE flag = 1 AND rn > 1"""
 
 ORACLES = {
-    "window_gap_user_1d": """
-        SELECT window_start, window_start + INTERVAL '1 day' AS window_end, user_id, count(*) AS n,
-               coalesce(max(gap), -1) AS longest_gap
-        FROM (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (
-                PARTITION BY user_id, window_start ORDER BY ts) AS gap
-              FROM (SELECT *, time_bucket(INTERVAL '1 day', ts) AS window_start FROM events))
-        GROUP BY user_id, window_start""",
-    "window_gap_1h": """
-        SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, count(*) AS n,
-               coalesce(max(gap), -1) AS longest_gap
-        FROM (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (
-                PARTITION BY window_start ORDER BY ts) AS gap
-              FROM (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS window_start FROM events))
-        GROUP BY window_start""",
-    "window_median_type_6h": """
-        SELECT window_start, window_start + INTERVAL '6 hours' AS window_end, event_type,
-               list_sort(list(value))[(count(*) - 1) // 2 + 1] AS median_value
-        FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS window_start FROM events)
-        GROUP BY window_start, event_type""",
     "tumble_count_user_1h": """
         SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
                time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
@@ -574,10 +500,6 @@ ORACLES = {
         SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, user_id,
                CAST(sum(CAST(floor(value) AS BIGINT) - 50) AS BIGINT) AS diff
         FROM events GROUP BY ALL""",
-    "props_by_table_function": """
-        SELECT event_id, 'k' AS name,
-               CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS number
-        FROM events""",
     "props_by_row": """
         SELECT event_id, 'k' AS name,
                CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS number
