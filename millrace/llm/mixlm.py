@@ -2,13 +2,16 @@
 
 Text is its words, A-Z lower-cased, each followed by a blank, then an end sign.  Every byte
 is eight binary decisions.  For each number of preceding bytes (0 to ``MOST_ORDER``), and for
-the word so far within them, a hashed table of counts predicts the next bit; a mixer adds
-the predictions in the logistic domain, with weights chosen by how long a context was seen
+the word so far within them, a table of counts predicts the next bit; a mixer adds the
+predictions in the logistic domain, with weights chosen by how long a context was seen
 before and by the bit's place, learned online; a last table, adapted to what the mixer got
 right, refines the result.
 
 All training text counts.  As a prediction depends on ``MOST_ORDER + 1`` bytes only, tasks
-count and score distinct byte runs instead of every place.
+count and score distinct byte runs instead of every place.  Runs are dealt to shards by the
+three bytes before the last one, so that a shard holds all counts of the contexts that it
+owns: it builds its own segment of the tables and learns its own weights.  The number of
+shards and of slots follows from the number of distinct runs, never from partitions.
 """
 
 from __future__ import annotations
@@ -25,12 +28,16 @@ from millrace.llm.text import cut_lineage
 
 MOST_ORDER = 6
 ORDERS = MOST_ORDER + 2
-SLOT_BITS = 22
-SLOTS = 1 << SLOT_BITS
-BLOCK = 1 << 15
+DENSE = 3
+HASHED = ORDERS - DENSE
+SLOTS_A_RUN = 4
+MOST_SLOT_BITS = 24
+SHARD_RUNS = 1 << 18
+MOST_SHARD_BITS = 14
+SPREAD = 10_368_889
 HELD_GRAMS = 3_000_000
 LEARN_AT_ONCE = 1024
-LEARNING_RATE = 0.5
+LEARNING_RATE = 0.05
 PASSES = 3
 REFINE_STEPS = 33
 HOT_WORDS = 1 << 17
@@ -66,7 +73,8 @@ def grams(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def contexts(key: np.ndarray) -> list[np.ndarray]:
-    """Hashes of what each predictor looks at: the last 0, 1, ... bytes, and the word so far."""
+    """What each predictor looks at: the last 0, 1, 2 bytes as they are, then hashes of the
+    last 3, 4, ... bytes and of the word so far."""
     before = key >> np.uint64(8)
     found = [before & np.uint64((1 << (8 * order)) - 1) for order in range(MOST_ORDER + 1)]
     word, inside = np.zeros(len(key), np.uint64), np.ones(len(key), bool)
@@ -75,12 +83,38 @@ def contexts(key: np.ndarray) -> list[np.ndarray]:
         inside = inside & (byte > 32)
         word[inside] |= byte[inside] << np.uint64(8 * back)
     found.append(word)
-    return [tokens.mixed(c * np.uint64(16) + np.uint64(k)) for k, c in enumerate(found)]
+    return [c if k < DENSE else tokens.mixed(c * np.uint64(16) + np.uint64(k)) for k, c in enumerate(found)]
 
 
-def _slots(context: np.ndarray, node: np.ndarray) -> np.ndarray:
+def shard_of(key: np.ndarray, shard_bits: int) -> np.ndarray:
+    """The shard by the three bytes before the last; all blanks and starts are alike."""
+    near = np.zeros(len(key), np.int64)
+    for back in (1, 2, 3):
+        byte = (key >> np.uint64(8 * back)) & np.uint64(255)
+        near |= np.maximum(byte, np.uint64(32)).astype(np.int64) << (8 * (back - 1))
+    return ((near * SPREAD) & 0xFFFFFF) >> (24 - shard_bits)
+
+
+def shard_column(key: Column, shard_bits: int) -> Column:
+    """``shard_of`` as a column."""
+    near = F.lit(0).cast("long")
+    for back in (1, 2, 3):
+        byte = F.shiftrightunsigned(key, 8 * back).bitwiseAND(255)
+        near = near + F.greatest(byte, F.lit(32).cast("long")) * (1 << (8 * (back - 1)))
+    return F.shiftright((near * SPREAD).bitwiseAND(0xFFFFFF), 24 - shard_bits).cast("int")
+
+
+def sizes(runs: int) -> tuple[int, int]:
+    """Bits of a slot and of a shard for so many distinct runs."""
+    slot_bits = min(max((SLOTS_A_RUN * runs).bit_length(), 10), MOST_SLOT_BITS)
+    shard_bits = min(max(runs // SHARD_RUNS, 0).bit_length(), MOST_SHARD_BITS)
+    return slot_bits, shard_bits
+
+
+def _slots(context: np.ndarray, node: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot within a shard's segment of ``2^width``, and the sign that tells contexts of a slot apart."""
     h = (context + node.astype(np.uint64) * np.uint64(tokens.BASE)) * np.uint64(0x81DADEF4BC2DD44D)
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return (h >> np.uint64(64 - width)).astype(np.int64), ((h >> np.uint64(24)) & np.uint64(255)).astype(np.uint8)
 
 
 def _bits(key: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -162,71 +196,75 @@ def _chunk_words(data, offsets, powers):
     return tokens.word_hashes(data, offsets, powers)[0]
 
 
-def _bit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``place, tune, counts``: blocks of zero and one counts of hashed contexts."""
-    held: dict[bool, list] = {False: [], True: []}
-    for batch in batches:
-        tune = batch["tune"].to_numpy(zero_copy_only=False)
-        for which in held:
-            some = tune == which
-            held[which].append((batch["key"].to_numpy()[some].view(np.uint64), batch["n"].to_numpy()[some]))
-    for which, parts in held.items():
-        if not parts:
-            continue
-        key, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        if not len(key):
-            continue
-        for order, context in enumerate(contexts(key)):
-            counts = np.zeros(2 * SLOTS, np.int64)
-            for _, node, bit in _bits(key):
-                np.add.at(counts, 2 * _slots(context, node) + bit, n)
-            for block in range(2 * SLOTS // BLOCK):
-                some = counts[block * BLOCK : (block + 1) * BLOCK]
-                if some.any():
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([order * (2 * SLOTS // BLOCK) + block], pa.int32()),
-                            pa.array([which]),
-                            pa.array([pa.compress(some.tobytes(), "zstd", asbytes=True)], pa.binary()),
-                        ],
-                        ["place", "tune", "counts"],
-                    )
-
-
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds blocks up; ``first`` predicts without the tuning text, ``whole`` with it."""
-    sums: dict[tuple[int, bool], np.ndarray] = {}
-    for batch in batches:
-        for at in zip(*(batch[c].to_pylist() for c in ("place", "tune", "counts"))):
-            some = np.frombuffer(pa.decompress(at[2], 8 * BLOCK, "zstd"), np.int64)
-            sums[at[:2]] = sums[at[:2]] + some if at[:2] in sums else some
-    for place in {p for p, _ in sums}:
-        first = sums.get((place, False), np.zeros(BLOCK, np.int64))
-        whole = first + sums.get((place, True), 0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([place], pa.int32()), *(pa.array([predictions(c).tobytes()], pa.binary()) for c in (first, whole))],
-            ["place", "first", "whole"],
-        )
+def segment(key: np.ndarray, n: np.ndarray, tuned: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """``signs, first, whole`` by hashed order: predictions without the tuning text and with it.
+
+    Where contexts meet in a slot the one of the most frequent run has it; the others stay
+    unknown there and longer or shorter contexts speak for them.
+    """
+    order = np.lexsort((key, n))
+    key, n, tuned = key[order], n[order].astype(float), tuned[order].astype(float)
+    signs = np.zeros((HASHED, 1 << width), np.uint8)
+    first, whole = (np.full((HASHED, 1 << width), -128, np.int8) for _ in range(2))
+    for k, context in enumerate(contexts(key)[DENSE:]):
+        places = [(*_slots(context, node, width), bit) for _, node, bit in _bits(key)]
+        for slot, sign, _ in reversed(places):
+            signs[k][slot] = sign
+        counts = np.zeros((2, 2 << width))
+        for slot, sign, bit in places:
+            own = signs[k][slot] == sign
+            at = 2 * slot[own] + bit[own]
+            counts[0] += np.bincount(at, (n - tuned)[own], 2 << width)
+            counts[1] += np.bincount(at, n[own], 2 << width)
+        first[k], whole[k] = predictions(counts[0]), predictions(counts[1])
+    return signs, first, whole
+
+
+def dense_tables(gram: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Predictions after the last 0, 1 and 2 bytes, from counts of runs of three bytes."""
+    tables = []
+    for order in range(DENSE):
+        low = gram & ((1 << (8 * (order + 1))) - 1)
+        counts = np.zeros(2 << (8 * (order + 1)), np.int64)
+        for _, node, bit in _bits(low.astype(np.uint64)):
+            np.add.at(counts, 2 * ((low >> 8 << 8) | node) + bit, n)
+        tables.append(predictions(counts))
+    return tables
 
 
 def predictions(counts: np.ndarray) -> np.ndarray:
     """log odds of a one in sixteenths, as int8; -128 for a context never seen."""
-    zeros, ones = counts[0::2].astype(float), counts[1::2].astype(float)
+    zeros, ones = counts[0::2].astype(np.float32), counts[1::2].astype(np.float32)
     odds = np.rint(16 * np.log((ones + 0.3) / (zeros + 0.3))).clip(-127, 127)
     return np.where(zeros + ones > 0, odds, -128).astype(np.int8)
 
 
 class Model:
-    """Prediction tables, mixing weights and refinement of one model."""
+    """Prediction tables, mixing weights and refinement of one model.
+
+    ``dense`` holds the tables of the short contexts, ``signs`` and ``hashed`` those of the
+    others: all shards' segments behind each other, or with ``shard_bits`` 0 a single one.
+    """
 
-    def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None):
-        self.tables = tables
+    def __init__(self, dense, signs, hashed, shard_bits, weights=None, refine=None):
+        self.dense, self.signs, self.hashed, self.shard_bits = dense, signs, hashed, shard_bits
+        self.width = int(hashed.shape[1]).bit_length() - 1 - shard_bits
         self.weights = np.full((8 * (MOST_ORDER + 2), ORDERS), 0.3) if weights is None else weights
         self.refine = refine
 
-    def inputs(self, seen: list[np.ndarray], place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def contexts(self, key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        return contexts(key), shard_of(key, self.shard_bits) << self.width
+
+    def inputs(self, seen: tuple, place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Predictions of each order, and the gate: longest known context and bit place."""
-        found = np.stack([table[_slots(context, node)] for table, context in zip(self.tables, seen)], axis=1)
+        context, base = seen
+        found = np.empty((len(node), ORDERS), np.int8)
+        for k in range(DENSE):
+            found[:, k] = self.dense[k][(context[k].astype(np.int64) << 8) | node]
+        for k in range(HASHED):
+            slot, sign = _slots(context[DENSE + k], node, self.width)
+            slot += base
+            found[:, DENSE + k] = np.where(self.signs[k][slot] == sign, self.hashed[k][slot], -128)
         known = found > -128
         longest = known[:, : MOST_ORDER + 1].sum(axis=1)
         return np.where(known, found, 0) / 16.0, longest * 8 + place
@@ -238,7 +276,7 @@ class Model:
         """Online: predicts some bits, then moves the weights of their gates."""
         for at in [*range(0, len(key), LEARN_AT_ONCE)] * PASSES:
             some, count = key[at : at + LEARN_AT_ONCE], n[at : at + LEARN_AT_ONCE].astype(float)
-            context = contexts(some)
+            context = self.contexts(some)
             for place, node, bit in _bits(some):
                 inputs, gate = self.inputs(context, place, node)
                 miss = (bit - 1 / (1 + np.exp(-self.mix(inputs, gate)))) * count
@@ -254,7 +292,7 @@ class Model:
         counts = np.zeros(2 * 256 * REFINE_STEPS)
         for at in range(0, len(key), 1 << 16):
             some, count = key[at : at + (1 << 16)], n[at : at + (1 << 16)]
-            context = contexts(some)
+            context = self.contexts(some)
             for place, node, bit in _bits(some):
                 step = self.steps(self.mix(*self.inputs(context, place, node)), node)
                 counts += np.bincount(2 * step + bit, count, len(counts))
@@ -265,7 +303,7 @@ class Model:
         cost = np.zeros(len(key))
         for at in range(0, len(key), 1 << 16):
             some = key[at : at + (1 << 16)]
-            context = contexts(some)
+            context = self.contexts(some)
             for place, node, bit in _bits(some):
                 mixed = self.mix(*self.inputs(context, place, node))
                 one = (1 / (1 + np.exp(-mixed)) + self.refine[self.steps(mixed, node)]) / 2
@@ -281,83 +319,84 @@ def refinement(counts: np.ndarray) -> np.ndarray:
     return (ones + 2 * said) / (zeros + ones + 2)
 
 
-def _learned(tables, job: str, weights: np.ndarray | None = None):
-    """Weights learned from a partition's byte runs, or the outcomes under given weights."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, total, sums = Model(tables.value, weights), 0, np.zeros(2 * 256 * REFINE_STEPS)
-        for batch in batches:
-            key, n = batch["key"].to_numpy().view(np.uint64), batch["n"].to_numpy()
-            total += int(n.sum())
-            if job == "weights":
-                # An order without pattern, the same each time.
-                order = np.argsort(tokens.mixed(key))
-                model.learn(key[order], n[order])
-            else:
-                sums += model.outcomes(key, n)
-        values = model.weights.reshape(-1) if job == "weights" else sums
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([total]), pa.array([values.tobytes()], pa.binary())], ["n", "learned"]
+def _shard_model(dense, width: int):
+    """A shard's segment of the tables, its weights, and the outcomes under them."""
+
+    def build(rows: pa.Table) -> pa.Table:
+        key = rows["key"].to_numpy().view(np.uint64)
+        n, tuned = rows["n"].to_numpy(), rows["tuned"].to_numpy()
+        signs, first, whole = segment(key, n, tuned, width)
+        model = Model(dense.value, signs, first, 0)
+        some = np.flatnonzero(tuned)
+        # An order without pattern, the same each time.
+        some = some[np.argsort(tokens.mixed(key[some]))]
+        model.learn(key[some], tuned[some])
+        blobs = (model.weights, model.outcomes(key[some], tuned[some]), signs, whole)
+        return pa.table(
+            [rows["shard"][:1], pa.array([int(tuned.sum())]), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)],
+            ["shard", "n", "weights", "outcomes", "signs", "whole"],
         )
 
-    return run
-
-
-def _added(spark, rows: DataFrame) -> np.ndarray | None:
-    """Sum of n x values over the partitions, and of n; a few kilobytes each."""
-    total, weight = None, 0
-    for row in rows.toLocalIterator():
-        if row["n"]:
-            some = np.frombuffer(row["learned"]) * row["n"]
-            total, weight = some if total is None else total + some, weight + row["n"]
-    return None if total is None else total / weight
+    return build
 
 
 def train(docs: DataFrame, tune: Column) -> Model:
     """The model of ``docs`` (``text``); the mixer learns from the rows where ``tune``.
 
-    The driver gets the hashed tables (``2^SLOT_BITS`` bytes an order, twice), and weights
-    and outcomes of each partition.
+    The tables have about ``SLOTS_A_RUN`` slots for each distinct run, up to
+    ``2^MOST_SLOT_BITS`` an order; beyond that the most frequent contexts hold them.  The
+    driver gets the tables (at most 184 MB), counts of runs of three bytes, and weights and
+    outcomes of each shard.  Weights are averaged over shards in a fixed order.
     """
     spark = docs.sparkSession
     counted = cut_lineage(
         docs.select("text", tune.alias("tune"))
         .mapInArrow(_counted(_chunk_grams), "tune boolean, key long, n long")
-        .groupBy("tune", "key")
-        .agg(F.sum("n").alias("n"))
+        .groupBy("key")
+        .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("tune"), F.col("n")).otherwise(0)).alias("tuned"))
+    )
+    slot_bits, shard_bits = sizes(counted.count())
+    width = max(slot_bits - shard_bits, 4)
+    low = (
+        counted.groupBy(F.col("key").bitwiseAND((1 << (8 * DENSE)) - 1).alias("gram"))
+        .agg(F.sum("n").alias("n"), F.sum("tuned").alias("tuned"))
+        .toArrow()
     )
-    tables = np.full((2, ORDERS * SLOTS), -128, np.int8)
-    blocks = (
-        counted.mapInArrow(_bit_counts, "place int, tune boolean, counts binary")
-        .repartition("place")
-        .mapInArrow(_tables, "place int, first binary, whole binary")
+    gram, n, tuned = (low[c].to_numpy().astype(np.int64) for c in ("gram", "n", "tuned"))
+    sent = spark.sparkContext.broadcast(dense_tables(gram, n - tuned))
+    built = cut_lineage(
+        counted.withColumn("shard", shard_column(F.col("key"), shard_bits))
+        .groupBy("shard")
+        .applyInArrow(
+            _shard_model(sent, width),
+            "shard int, n long, weights binary, outcomes binary, signs binary, whole binary",
+        )
     )
-    half = BLOCK // 2
-    for row in blocks.toLocalIterator():
-        at = row["place"] * half
-        tables[0, at : at + half] = np.frombuffer(row["first"], np.int8)
-        tables[1, at : at + half] = np.frombuffer(row["whole"], np.int8)
-    first, whole = tables.reshape(2, ORDERS, SLOTS)
-    sent = spark.sparkContext.broadcast(first)
-    tuning = counted.where("tune").select("key", "n")
-    weights = _added(spark, tuning.mapInArrow(_learned(sent, "weights"), "n long, learned binary"))
-    model = Model(whole, None if weights is None else weights.reshape(-1, ORDERS))
-    rows = tuning.mapInArrow(_learned(sent, "outcomes", model.weights), "n long, learned binary")
-    outcomes = np.zeros(2 * 256 * REFINE_STEPS)
-    for row in rows.toLocalIterator():
-        outcomes += np.frombuffer(row["learned"])
-    model.refine = refinement(outcomes)
+    signs = np.zeros((HASHED, 1 << (width + shard_bits)), np.uint8)
+    hashed = np.full((HASHED, 1 << (width + shard_bits)), -128, np.int8)
+    learned = {}
+    for row in built.toLocalIterator():
+        at = slice(row["shard"] << width, (row["shard"] + 1) << width)
+        signs[:, at] = np.frombuffer(row["signs"], np.uint8).reshape(HASHED, -1)
+        hashed[:, at] = np.frombuffer(row["whole"], np.int8).reshape(HASHED, -1)
+        if row["n"]:
+            learned[row["shard"]] = row["n"], np.frombuffer(row["weights"]), np.frombuffer(row["outcomes"])
     sent.unpersist()
-    return model
+    outcomes, weights = np.zeros(2 * 256 * REFINE_STEPS), None
+    if learned:
+        in_order = [learned[shard] for shard in sorted(learned)]
+        weights = sum(n * w for n, w, _ in in_order) / sum(n for n, _, _ in in_order)
+        weights = weights.reshape(-1, ORDERS)
+        outcomes = sum(o for _, _, o in in_order)
+    return Model(dense_tables(gram, n), signs, hashed, shard_bits, weights, refinement(outcomes))
 
 
 def _scored(model, hot):
-    names = ["doc_id", "text_key", "held_out", "n_tokens", "n_known", "log_counts", "score", "rare"]
+    names = ["doc_id", "text_key", "held_out", "n_tokens", "n_known", "log_counts", "n_bytes", "score", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = tokens.Powers(), set()
-        tables, weights, refine = model.value
-        scorer, (hot_words, hot_counts) = Model(tables, weights, refine), hot.value
+        scorer, (hot_words, hot_counts) = Model(*model.value), hot.value
         for batch in batches:
             for at, to, data, offsets in tokens.chunks(batch["text"], CHUNK):
                 text, begin = plain(data, offsets)
@@ -382,6 +421,7 @@ def _scored(model, hot):
                         pa.array(np.diff(rows) + 1),
                         pa.array(np.diff(sums[1]).astype(np.int64)),
                         pa.array(np.diff(sums[0])),
+                        pa.array(np.diff(begin)),
                         pa.array(-(cost[begin[1:]] - cost[begin[:-1]]) * np.log10(2)),
                         pa.array(rare, pa.list_(pa.int64())),
                     ],
@@ -392,11 +432,13 @@ def _scored(model, hot):
 
 
 def score(docs: DataFrame, held_out: Column, tune: Column) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes,
+    bits_per_byte``.
 
     Per row of ``docs`` (``doc_id``, ``text``; others ignored).  Learns from rows that are
     not ``held_out``; null text is empty.  ``base_score`` is that of a unigram model with
-    add-one counts.  Words are known by 64-bit hashes.  Without training rows every bit
+    add-one counts.  Words are known by 64-bit hashes.  ``n_bytes`` counts the
+    bytes scored: those of the words, and one after each word and at the end.  Without training rows every bit
     has the chance that untrained tables give.  Trains when called.
     """
     spark = docs.sparkSession
@@ -418,13 +460,15 @@ def score(docs: DataFrame, held_out: Column, tune: Column) -> DataFrame:
     order = np.argsort(hot_words)
     hot = spark.sparkContext.broadcast((hot_words[order], top["n"].to_numpy(np.int64)[order]))
     model = train(training, F.col("tune"))
-    sent = spark.sparkContext.broadcast((model.tables, model.weights, model.refine))
+    sent = spark.sparkContext.broadcast(
+        (model.dense, model.signs, model.hashed, model.shard_bits, model.weights, model.refine)
+    )
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = cut_lineage(
         keyed.mapInArrow(
             _scored(sent, hot),
             f"doc_id {id_type}, text_key long, held_out boolean, n_tokens long, n_known long, "
-            "log_counts double, score double, rare array<long>",
+            "log_counts double, n_bytes long, score double, rare array<long>",
         )
     )
     rare = (
@@ -453,4 +497,6 @@ def score(docs: DataFrame, held_out: Column, tune: Column) -> DataFrame:
             - F.col("n_tokens") * float(np.log10(n_all + kinds + 1.0))
         ).alias("base_score"),
         "score",
+        "n_bytes",
+        (-F.col("score") * float(np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

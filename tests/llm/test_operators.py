@@ -121,8 +121,11 @@ def test_contained_items(spark):
 def test_chances_of_all_continuations_add_up_to_one():
     pick = random.Random(1)
     key = np.array([pick.getrandbits(48) << 8 for _ in range(5)], np.uint64)
-    tables = np.random.default_rng(0).integers(-128, 127, (mixlm.ORDERS, mixlm.SLOTS), np.int8)
-    model = mixlm.Model(tables, refine=mixlm.refinement(np.zeros(2 * 256 * mixlm.REFINE_STEPS)))
+    draw = np.random.default_rng(0)
+    dense = [draw.integers(-128, 127, 1 << (8 * k + 8), np.int8) for k in range(mixlm.DENSE)]
+    signs = draw.integers(0, 4, (mixlm.HASHED, 1 << 10), np.uint8)
+    hashed = draw.integers(-128, 127, (mixlm.HASHED, 1 << 10), np.int8)
+    model = mixlm.Model(dense, signs, hashed, 2, refine=mixlm.refinement(np.zeros(2 * 256 * mixlm.REFINE_STEPS)))
     every = np.concatenate([k | np.arange(256, dtype=np.uint64) for k in key])
     assert np.allclose((2.0 ** -model.log2_cost(every)).reshape(5, 256).sum(axis=1), 1)
 
