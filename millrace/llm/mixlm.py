@@ -31,7 +31,7 @@ ORDERS = MOST_ORDER + 2
 DENSE = 3
 HASHED = ORDERS - DENSE
 SLOTS_A_RUN = 4
-MOST_SLOT_BITS = 24
+MOST_SLOT_BITS = 23
 SHARD_RUNS = 1 << 18
 MOST_SHARD_BITS = 14
 SPREAD = 10_368_889
@@ -222,14 +222,20 @@ def segment(key: np.ndarray, n: np.ndarray, tuned: np.ndarray, width: int) -> tu
 
 def dense_tables(gram: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
     """Predictions after the last 0, 1 and 2 bytes, from counts of runs of three bytes."""
-    tables = []
-    for order in range(DENSE):
-        low = gram & ((1 << (8 * (order + 1))) - 1)
+
+    def table(low: np.ndarray, n: np.ndarray, order: int) -> np.ndarray:
         counts = np.zeros(2 << (8 * (order + 1)), np.int64)
         for _, node, bit in _bits(low.astype(np.uint64)):
             np.add.at(counts, 2 * ((low >> 8 << 8) | node) + bit, n)
-        tables.append(predictions(counts))
-    return tables
+        return predictions(counts)
+
+    tables = [table(gram & 0xFF, n, 0), table(gram & 0xFFFF, n, 1)]
+    # The largest one by its first byte, so that counts are held for a 256th of it.
+    last = np.full(1 << 24, -128, np.int8)
+    for byte in np.unique(gram >> 16):
+        some = (gram >> 16) == byte
+        last[byte << 16 : (byte + 1) << 16] = table(gram[some] & 0xFFFF, n[some], 1)
+    return [*tables, last]
 
 
 def predictions(counts: np.ndarray) -> np.ndarray:
@@ -345,7 +351,7 @@ def train(docs: DataFrame, tune: Column) -> Model:
 
     The tables have about ``SLOTS_A_RUN`` slots for each distinct run, up to
     ``2^MOST_SLOT_BITS`` an order; beyond that the most frequent contexts hold them.  The
-    driver gets the tables (at most 184 MB), counts of runs of three bytes, and weights and
+    driver gets the tables (at most 101 MB), counts of runs of three bytes, and weights and
     outcomes of each shard.  Weights are averaged over shards in a fixed order.
     """
     spark = docs.sparkSession
