@@ -30,7 +30,7 @@ MOST_ORDER = 6
 ORDERS = MOST_ORDER + 2
 DENSE = 3
 HASHED = ORDERS - DENSE
-SLOTS_A_RUN = 4
+SLOTS_A_RUN = 1
 MOST_SLOT_BITS = 23
 SHARD_RUNS = 1 << 18
 MOST_SHARD_BITS = 14
@@ -41,7 +41,7 @@ LEARNING_RATE = 0.05
 PASSES = 3
 REFINE_STEPS = 33
 HOT_WORDS = 1 << 17
-CHUNK = 2 << 20
+CHUNK = 4 << 20
 
 
 def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +83,10 @@ def contexts(key: np.ndarray) -> list[np.ndarray]:
         inside = inside & (byte > 32)
         word[inside] |= byte[inside] << np.uint64(8 * back)
     found.append(word)
-    return [c if k < DENSE else tokens.mixed(c * np.uint64(16) + np.uint64(k)) for k, c in enumerate(found)]
+    return [
+        c if k < DENSE else tokens.mixed(c * np.uint64(16) + np.uint64(k)) * np.uint64(_FACTOR)
+        for k, c in enumerate(found)
+    ]
 
 
 def shard_of(key: np.ndarray, shard_bits: int) -> np.ndarray:
@@ -111,10 +114,14 @@ def sizes(runs: int) -> tuple[int, int]:
     return slot_bits, shard_bits
 
 
+_FACTOR = 0x81DADEF4BC2DD44D
+_OF_NODE = np.arange(256, dtype=np.uint64) * np.uint64(tokens.BASE * _FACTOR % (1 << 64))
+
+
 def _slots(context: np.ndarray, node: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Slot within a shard's segment of ``2^width``, and the sign that tells contexts of a slot apart."""
-    h = (context + node.astype(np.uint64) * np.uint64(tokens.BASE)) * np.uint64(0x81DADEF4BC2DD44D)
-    return (h >> np.uint64(64 - width)).astype(np.int64), ((h >> np.uint64(24)) & np.uint64(255)).astype(np.uint8)
+    h = context + _OF_NODE[node]
+    return (h >> np.uint64(64 - width)).astype(np.int64), h.view(np.uint8)[3::8]
 
 
 def _bits(key: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -250,33 +257,45 @@ class Model:
 
     ``dense`` holds the tables of the short contexts, ``signs`` and ``hashed`` those of the
     others: all shards' segments behind each other, or with ``shard_bits`` 0 a single one.
+    A sign and its prediction are looked up as one number.
     """
 
     def __init__(self, dense, signs, hashed, shard_bits, weights=None, refine=None):
-        self.dense, self.signs, self.hashed, self.shard_bits = dense, signs, hashed, shard_bits
+        self.dense, self.shard_bits = dense, shard_bits
+        self.entries = signs.astype(np.uint16) << 8 | hashed.view(np.uint8)
         self.width = int(hashed.shape[1]).bit_length() - 1 - shard_bits
         self.weights = np.full((8 * (MOST_ORDER + 2), ORDERS), 0.3) if weights is None else weights
         self.refine = refine
 
     def contexts(self, key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        return contexts(key), shard_of(key, self.shard_bits) << self.width
+        found = contexts(key)
+        low = [c.astype(np.int64) << 8 for c in found[:DENSE]]
+        return [*low, *found[DENSE:]], shard_of(key, self.shard_bits) << self.width
 
     def inputs(self, seen: tuple, place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Predictions of each order, and the gate: longest known context and bit place."""
+        """Predictions by order, and the gate: longest known context and bit place."""
         context, base = seen
-        found = np.empty((len(node), ORDERS), np.int8)
-        for k in range(DENSE):
-            found[:, k] = self.dense[k][(context[k].astype(np.int64) << 8) | node]
-        for k in range(HASHED):
-            slot, sign = _slots(context[DENSE + k], node, self.width)
-            slot += base
-            found[:, DENSE + k] = np.where(self.signs[k][slot] == sign, self.hashed[k][slot], -128)
-        known = found > -128
-        longest = known[:, : MOST_ORDER + 1].sum(axis=1)
-        return np.where(known, found, 0) / 16.0, longest * 8 + place
+        found = np.empty((ORDERS, len(node)), np.int8)
+        longest = np.zeros(len(node), np.int64)
+        for k in range(ORDERS):
+            if k < DENSE:
+                said = self.dense[k].take(context[k] | node)
+            else:
+                slot, sign = _slots(context[k], node, self.width)
+                entry = self.entries[k - DENSE].take(slot | base)
+                parts = entry.view(np.uint8)
+                said = np.where(parts[1::2] == sign, parts[0::2].view(np.int8), np.int8(-128))
+            known = said != -128
+            found[k] = said * known
+            if k <= MOST_ORDER:
+                longest += known
+        return found.astype(np.float32) * np.float32(1 / 16), longest * 8 + place
 
     def mix(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip((inputs * self.weights[gate]).sum(axis=1), -15, 15)
+        total = np.zeros(len(gate), np.float32)
+        for k in range(ORDERS):
+            total += inputs[k] * self.weights[:, k].astype(np.float32).take(gate)
+        return np.clip(total, -15, 15)
 
     def learn(self, key: np.ndarray, n: np.ndarray) -> None:
         """Online: predicts some bits, then moves the weights of their gates."""
@@ -288,7 +307,7 @@ class Model:
                 miss = (bit - 1 / (1 + np.exp(-self.mix(inputs, gate)))) * count
                 total = np.maximum(np.bincount(gate, count, len(self.weights)), 1)
                 for o in range(ORDERS):
-                    self.weights[:, o] += LEARNING_RATE * np.bincount(gate, miss * inputs[:, o], len(self.weights)) / total
+                    self.weights[:, o] += LEARNING_RATE * np.bincount(gate, miss * inputs[o], len(self.weights)) / total
 
     def steps(self, mixed: np.ndarray, node: np.ndarray) -> np.ndarray:
         return node * REFINE_STEPS + np.rint(mixed + REFINE_STEPS // 2).clip(0, REFINE_STEPS - 1).astype(np.int64)
@@ -296,8 +315,8 @@ class Model:
     def outcomes(self, key: np.ndarray, n: np.ndarray) -> np.ndarray:
         """How often bits were zero and one, by node and by what the mixer said."""
         counts = np.zeros(2 * 256 * REFINE_STEPS)
-        for at in range(0, len(key), 1 << 16):
-            some, count = key[at : at + (1 << 16)], n[at : at + (1 << 16)]
+        for at in range(0, len(key), 1 << 15):
+            some, count = key[at : at + (1 << 15)], n[at : at + (1 << 15)]
             context = self.contexts(some)
             for place, node, bit in _bits(some):
                 step = self.steps(self.mix(*self.inputs(context, place, node)), node)
@@ -307,13 +326,13 @@ class Model:
     def log2_cost(self, key: np.ndarray) -> np.ndarray:
         """Bits that each byte costs, the refinement averaged with what it refines."""
         cost = np.zeros(len(key))
-        for at in range(0, len(key), 1 << 16):
-            some = key[at : at + (1 << 16)]
+        for at in range(0, len(key), 1 << 15):
+            some = key[at : at + (1 << 15)]
             context = self.contexts(some)
             for place, node, bit in _bits(some):
                 mixed = self.mix(*self.inputs(context, place, node))
                 one = (1 / (1 + np.exp(-mixed)) + self.refine[self.steps(mixed, node)]) / 2
-                cost[at : at + (1 << 16)] -= np.log2(np.where(bit == 1, one, 1 - one))
+                cost[at : at + (1 << 15)] -= np.log2(np.where(bit == 1, one, 1 - one))
         return cost
 
 
@@ -325,6 +344,25 @@ def refinement(counts: np.ndarray) -> np.ndarray:
     return (ones + 2 * said) / (zeros + ones + 2)
 
 
+def _packed(table: np.ndarray) -> bytes:
+    return pa.compress(table.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, kind, slots: int) -> np.ndarray:
+    """Rows of ``slots`` one-byte entries."""
+    return np.frombuffer(pa.decompress(blob, HASHED * slots, "zstd"), kind).reshape(HASHED, slots)
+
+
+def _dense_blobs(tables: list[np.ndarray]) -> list[bytes]:
+    return [_packed(t) for t in tables]
+
+
+def _dense_tables(blobs: list[bytes]) -> list[np.ndarray]:
+    return [
+        np.frombuffer(pa.decompress(blob, 1 << (8 * k + 8), "zstd"), np.int8) for k, blob in enumerate(blobs)
+    ]
+
+
 def _shard_model(dense, width: int):
     """A shard's segment of the tables, its weights, and the outcomes under them."""
 
@@ -332,22 +370,23 @@ def _shard_model(dense, width: int):
         key = rows["key"].to_numpy().view(np.uint64)
         n, tuned = rows["n"].to_numpy(), rows["tuned"].to_numpy()
         signs, first, whole = segment(key, n, tuned, width)
-        model = Model(dense.value, signs, first, 0)
+        model = Model(_dense_tables(dense.value), signs, first, 0)
         some = np.flatnonzero(tuned)
         # An order without pattern, the same each time.
         some = some[np.argsort(tokens.mixed(key[some]))]
         model.learn(key[some], tuned[some])
-        blobs = (model.weights, model.outcomes(key[some], tuned[some]), signs, whole)
+        learned = model.weights.tobytes(), model.outcomes(key[some], tuned[some]).tobytes()
+        blobs = (*learned, _packed(signs), _packed(whole))
         return pa.table(
-            [rows["shard"][:1], pa.array([int(tuned.sum())]), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)],
+            [rows["shard"][:1], pa.array([int(tuned.sum())]), *(pa.array([b], pa.binary()) for b in blobs)],
             ["shard", "n", "weights", "outcomes", "signs", "whole"],
         )
 
     return build
 
 
-def train(docs: DataFrame, tune: Column) -> Model:
-    """The model of ``docs`` (``text``); the mixer learns from the rows where ``tune``.
+def train(docs: DataFrame, tune: Column) -> tuple:
+    """The arguments of ``Model`` for the texts of ``docs`` (``text``); the mixer learns from the rows where ``tune``.
 
     The tables have about ``SLOTS_A_RUN`` slots for each distinct run, up to
     ``2^MOST_SLOT_BITS`` an order; beyond that the most frequent contexts hold them.  The
@@ -369,7 +408,7 @@ def train(docs: DataFrame, tune: Column) -> Model:
         .toArrow()
     )
     gram, n, tuned = (low[c].to_numpy().astype(np.int64) for c in ("gram", "n", "tuned"))
-    sent = spark.sparkContext.broadcast(dense_tables(gram, n - tuned))
+    sent = spark.sparkContext.broadcast(_dense_blobs(dense_tables(gram, n - tuned)))
     built = cut_lineage(
         counted.withColumn("shard", shard_column(F.col("key"), shard_bits))
         .groupBy("shard")
@@ -383,8 +422,8 @@ def train(docs: DataFrame, tune: Column) -> Model:
     learned = {}
     for row in built.toLocalIterator():
         at = slice(row["shard"] << width, (row["shard"] + 1) << width)
-        signs[:, at] = np.frombuffer(row["signs"], np.uint8).reshape(HASHED, -1)
-        hashed[:, at] = np.frombuffer(row["whole"], np.int8).reshape(HASHED, -1)
+        signs[:, at] = _unpacked(row["signs"], np.uint8, 1 << width)
+        hashed[:, at] = _unpacked(row["whole"], np.int8, 1 << width)
         if row["n"]:
             learned[row["shard"]] = row["n"], np.frombuffer(row["weights"]), np.frombuffer(row["outcomes"])
     sent.unpersist()
@@ -394,7 +433,7 @@ def train(docs: DataFrame, tune: Column) -> Model:
         weights = sum(n * w for n, w, _ in in_order) / sum(n for n, _, _ in in_order)
         weights = weights.reshape(-1, ORDERS)
         outcomes = sum(o for _, _, o in in_order)
-    return Model(dense_tables(gram, n), signs, hashed, shard_bits, weights, refinement(outcomes))
+    return dense_tables(gram, n), signs, hashed, shard_bits, weights, refinement(outcomes)
 
 
 def _scored(model, hot):
@@ -402,7 +441,9 @@ def _scored(model, hot):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = tokens.Powers(), set()
-        scorer, (hot_words, hot_counts) = Model(*model.value), hot.value
+        dense, signs, hashed, slots, *rest = model.value
+        tables = _dense_tables(dense), _unpacked(signs, np.uint8, slots), _unpacked(hashed, np.int8, slots)
+        scorer, (hot_words, hot_counts) = Model(*tables, *rest), hot.value
         for batch in batches:
             for at, to, data, offsets in tokens.chunks(batch["text"], CHUNK):
                 text, begin = plain(data, offsets)
@@ -465,9 +506,9 @@ def score(docs: DataFrame, held_out: Column, tune: Column) -> DataFrame:
     hot_words = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hot_words)
     hot = spark.sparkContext.broadcast((hot_words[order], top["n"].to_numpy(np.int64)[order]))
-    model = train(training, F.col("tune"))
+    dense, signs, hashed, *rest = train(training, F.col("tune"))
     sent = spark.sparkContext.broadcast(
-        (model.dense, model.signs, model.hashed, model.shard_bits, model.weights, model.refine)
+        (_dense_blobs(dense), _packed(signs), _packed(hashed), hashed.shape[1], *rest)
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = cut_lineage(
