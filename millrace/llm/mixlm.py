@@ -41,7 +41,7 @@ LEARNING_RATE = 0.05
 PASSES = 3
 REFINE_STEPS = 33
 HOT_WORDS = 1 << 17
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -336,6 +336,29 @@ class Model:
         return cost
 
 
+class Costs:
+    """Costs of byte runs, kept from chunk to chunk while they are at most ``HELD_GRAMS``."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.keys, self.costs = model, np.zeros(0, np.uint64), np.zeros(0)
+
+    def of(self, found: np.ndarray) -> np.ndarray:
+        """Bits that each of some sorted distinct runs costs."""
+        near = np.searchsorted(self.keys, found)
+        held = np.zeros(len(found), bool)
+        inside = near < len(self.keys)
+        held[inside] = self.keys[near[inside]] == found[inside]
+        cost = np.empty(len(found))
+        cost[held], new = self.costs[near[held]], found[~held]
+        cost[~held] = self.model.log2_cost(new)
+        if len(self.keys) + len(new) > HELD_GRAMS:
+            self.keys, self.costs = found, cost
+        else:
+            self.keys = np.insert(self.keys, near[~held], new)
+            self.costs = np.insert(self.costs, near[~held], cost[~held])
+        return cost
+
+
 def refinement(counts: np.ndarray) -> np.ndarray:
     """Chance of a one by node and step; what the mixer says counts as two outcomes."""
     zeros, ones = counts[0::2], counts[1::2]
@@ -442,13 +465,13 @@ def _scored(model, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = tokens.Powers(), set()
         dense, signs, hashed, slots, *rest = model.value
-        tables = _dense_tables(dense), _unpacked(signs, np.uint8, slots), _unpacked(hashed, np.int8, slots)
-        scorer, (hot_words, hot_counts) = Model(*tables, *rest), hot.value
+        scorer = Model(_dense_tables(dense), _unpacked(signs, np.uint8, slots), _unpacked(hashed, np.int8, slots), *rest)
+        known, (hot_words, hot_counts) = Costs(scorer), hot.value
         for batch in batches:
             for at, to, data, offsets in tokens.chunks(batch["text"], CHUNK):
                 text, begin = plain(data, offsets)
                 found, place = np.unique(grams(text, begin), return_inverse=True)
-                cost = np.concatenate([[0], np.cumsum(scorer.log2_cost(found)[place])])
+                cost = np.concatenate([[0], np.cumsum(known.of(found)[place])])
                 words, rows = tokens.word_hashes(data, offsets, powers)
                 near = np.minimum(np.searchsorted(hot_words, words), max(len(hot_words) - 1, 0))
                 is_hot = hot_words[near] == words if len(hot_words) else np.zeros(len(words), bool)

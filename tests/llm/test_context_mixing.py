@@ -58,6 +58,21 @@ def test_short_contexts_are_exact():
     assert tables[2][(0x6163 << 8) | node] == -128
 
 
+def test_costs_are_the_same_kept_or_not(monkeypatch):
+    monkeypatch.setattr(mixlm, "HELD_GRAMS", 900)
+
+    class Plain:
+        def log2_cost(self, key):
+            return key.astype(float) * 3
+
+    costs, draw = mixlm.Costs(Plain()), np.random.default_rng(5)
+    for size in (0, 5, 300, 300, 800, 2000, 10, 0):
+        found = np.unique(draw.integers(0, 1500, size).astype(np.uint64))
+        assert (costs.of(found) == found * 3.0).all()
+        assert (np.diff(costs.keys.astype(np.int64)) > 0).all()
+        assert (costs.costs == costs.keys * 3.0).all()
+
+
 def test_a_shard_is_the_same_in_a_column_and_in_tasks(spark):
     key = np.unique(runs([prose(9, 300), "né\tx y", ""]))
     df = spark.createDataFrame([(int(k),) for k in key], "key long")
