@@ -262,8 +262,8 @@ class Model:
 
     def __init__(self, dense, signs, hashed, shard_bits, weights=None, refine=None):
         self.dense, self.shard_bits = dense, shard_bits
-        self.entries = signs.astype(np.uint16) << 8 | hashed.view(np.uint8)
-        self.width = int(hashed.shape[1]).bit_length() - 1 - shard_bits
+        self.entries = [np.left_shift(sign, 8, dtype=np.uint16) | said.view(np.uint8) for sign, said in zip(signs, hashed)]
+        self.width = len(self.entries[0]).bit_length() - 1 - shard_bits
         self.weights = np.full((8 * (MOST_ORDER + 2), ORDERS), 0.3) if weights is None else weights
         self.refine = refine
 
@@ -465,7 +465,12 @@ def _scored(model, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = tokens.Powers(), set()
         dense, signs, hashed, slots, *rest = model.value
-        scorer = Model(_dense_tables(dense), _unpacked(signs, np.uint8, slots), _unpacked(hashed, np.int8, slots), *rest)
+        # One order at a time, so that no second copy of the tables is held.
+        by_order = [
+            (np.frombuffer(pa.decompress(blob, slots, "zstd"), kind) for blob in blobs)
+            for blobs, kind in ((signs, np.uint8), (hashed, np.int8))
+        ]
+        scorer = Model(_dense_tables(dense), *by_order, *rest)
         known, (hot_words, hot_counts) = Costs(scorer), hot.value
         for batch in batches:
             for at, to, data, offsets in tokens.chunks(batch["text"], CHUNK):
@@ -531,7 +536,7 @@ def score(docs: DataFrame, held_out: Column, tune: Column) -> DataFrame:
     hot = spark.sparkContext.broadcast((hot_words[order], top["n"].to_numpy(np.int64)[order]))
     dense, signs, hashed, *rest = train(training, F.col("tune"))
     sent = spark.sparkContext.broadcast(
-        (_dense_blobs(dense), _packed(signs), _packed(hashed), hashed.shape[1], *rest)
+        (_dense_blobs(dense), [*map(_packed, signs)], [*map(_packed, hashed)], hashed.shape[1], *rest)
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = cut_lineage(
