@@ -466,11 +466,12 @@ def _scored(model, hot):
         powers, seen = tokens.Powers(), set()
         dense, signs, hashed, slots, *rest = model.value
         # One order at a time, so that no second copy of the tables is held.
-        by_order = [
-            (np.frombuffer(pa.decompress(blob, slots, "zstd"), kind) for blob in blobs)
-            for blobs, kind in ((signs, np.uint8), (hashed, np.int8))
-        ]
-        scorer = Model(_dense_tables(dense), *by_order, *rest)
+        scorer = Model(
+            _dense_tables(dense),
+            (np.frombuffer(pa.decompress(blob, slots, "zstd"), np.uint8) for blob in signs),
+            (np.frombuffer(pa.decompress(blob, slots, "zstd"), np.int8) for blob in hashed),
+            *rest,
+        )
         known, (hot_words, hot_counts) = Costs(scorer), hot.value
         for batch in batches:
             for at, to, data, offsets in tokens.chunks(batch["text"], CHUNK):
