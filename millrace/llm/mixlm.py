@@ -30,7 +30,7 @@ MOST_ORDER = 6
 ORDERS = MOST_ORDER + 2
 DENSE = 3
 HASHED = ORDERS - DENSE
-SLOTS_A_RUN = 1
+SLOTS_A_RUN = 4
 MOST_SLOT_BITS = 23
 SHARD_RUNS = 1 << 18
 MOST_SHARD_BITS = 14
