@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators import windows
 from millrace.plans import batch, streams, tables
 from millrace.session import scratch_path
+from millrace.sinks.rolling import rolling_files
 from millrace.streaming import late
 from millrace.streaming.flush import flush, run_to_the_end
 from millrace.streaming.microbatch import run_changelog_count, run_count_windows, run_pattern_matches
@@ -25,6 +26,7 @@ from millrace.streaming.stateful import stream_changelog_count, stream_count_win
 from millrace.streaming.watermarks import with_watermark
 
 PARTS = 3
+ROLL_BYTES = 1 << 20
 STRAGGLERS = 7  # every so many rows one arrives a part later
 
 
@@ -254,6 +256,53 @@ def parts_stateful_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("user_id", *[F.col(f"{stage}_event_id").alias(f"{stage}_id") for stage in batch.FUNNEL])
 
 
+def _rolled(spark: SparkSession, base: str) -> DataFrame:
+    """The lines under ``base``, and whether the file of each keeps to ``ROLL_BYTES``."""
+    lines = spark.read.schema("value string, bucket string").text(f"{base}/lines")
+    return lines.select(F.col("value").alias("line"), (F.col("_metadata.file_size") <= ROLL_BYTES).alias("fits"))
+
+
+def rolling_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of three runs in files that roll by bytes, a folder for each type of event."""
+    base = scratch_path(spark, "rolling-bytes")
+    line = F.concat_ws(" ", F.col("user_id").cast("string"), "event_type", "props")
+
+    def begin(stream: DataFrame) -> StreamingQuery:
+        return rolling_files(
+            stream,
+            line,
+            f"{base}/lines",
+            f"{base}/checkpoint",
+            interval=None,
+            max_bytes=ROLL_BYTES,
+            bucket=F.col("event_type"),
+        )
+
+    in_parts(spark, sf_dir, begin)
+    return _rolled(spark, base)
+
+
+def rolling_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of a count, as lines in folders named by the hour, rolled by bytes."""
+    base = scratch_path(spark, "rolling-changelog")
+    line = F.concat_ws(",", F.col("is_add").cast("string"), F.col("user_id").cast("string"), F.col("cnt").cast("string"))
+
+    def begin(stream: DataFrame) -> StreamingQuery:
+        changes = stream_changelog_count(stream, ["user_id"], ["event_id"], "event_type")
+        return rolling_files(
+            changes,
+            line,
+            f"{base}/lines",
+            f"{base}/checkpoint",
+            interval=None,
+            max_bytes=ROLL_BYTES,
+            prefix="changes",
+        )
+
+    in_parts(spark, sf_dir, begin)
+    return _rolled(spark, base)
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -269,6 +318,8 @@ QUERIES = {
         parts_stateful_changelog,
         parts_stateful_count_window,
         parts_stateful_pattern,
+        rolling_by_bytes,
+        rolling_changelog,
     )
 }
 
@@ -312,4 +363,9 @@ ORACLES = {
     "parts_stateful_changelog": streams.ORACLES["stateful_changelog"],
     "parts_stateful_count_window": batch.ORACLES["count_window_2"],
     "parts_stateful_pattern": batch.ORACLES["pattern_signup_view_purchase_1d"],
+    "rolling_by_bytes": """
+        SELECT user_id || ' ' || event_type || ' ' || props AS line, true AS fits FROM events""",
+    "rolling_changelog": f"""
+        SELECT concat_ws(',', is_add, user_id, cnt) AS line, true AS fits
+        FROM ({streams.ORACLES["stateful_changelog"]})""",
 }
