@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from millrace.llm import tokens
 from millrace.llm.text import free_name
+
 FEATURE_BITS = 18
 SAMPLE_ROWS = 20_000
 GRADES = 3
@@ -26,6 +27,7 @@ RIDGE = 2e-4
 LEAST_DOCUMENTS = 8
 LEAST_DEVIATIONS = 4.0
 SHARE_STEPS = 20
+RATED = ["by_id", "by_text", "grade", "found"]
 
 _PUNCT = np.zeros(256, np.uint64)
 _PUNCT[33:127] = tokens.mixed(np.arange(33, 127, dtype=np.uint64))
@@ -121,14 +123,23 @@ def fit(rows: list[tuple[np.ndarray, int]], grades: int = GRADES, seed: int = 7)
     return np.concatenate([weights, thresholds]).astype(np.float32)
 
 
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features instead of texts: at most one number for each of the ``FEATURE_BITS``' buckets."""
+    powers = tokens.Powers()
+    for batch in batches:
+        for at, to, data, offsets in tokens.chunks(batch["text"]):
+            found, begin = features(data, offsets, powers)
+            lists = [found[begin[k] : begin[k + 1]].astype(np.int32).tobytes() for k in range(to - at)]
+            rest = batch.slice(at, to - at).select(["by_id", "by_text", "grade"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(lists, pa.binary())], RATED)
+
+
 def _fit_sample(grades: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, rows = tokens.Powers(), []
+        rows = []
         for batch in batches:
-            grade = batch["grade"].to_numpy()
-            for at, to, data, offsets in tokens.chunks(batch["text"]):
-                found, begin = features(data, offsets, powers)
-                rows += [(found[begin[k] : begin[k + 1]], int(grade[at + k])) for k in range(to - at)]
+            lists = batch["found"].to_pylist()
+            rows += [(np.frombuffer(found, np.int32), g) for found, g in zip(lists, batch["grade"].to_pylist())]
         model = fit(rows, grades) if rows else np.zeros((1 << FEATURE_BITS) + grades - 1, np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], ["model"])
 
@@ -138,7 +149,7 @@ def _fit_sample(grades: int):
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Weights and thresholds from ``labels`` (``doc_id``, ``quality``, ``toxic``).
 
-    Fitted in one task on the ``sample_rows`` labels of least hashed id.  Grades: 0 toxic,
+    Fitted in one task on the features of the ``sample_rows`` labels of least hashed id.  Grades: 0 toxic,
     1 of low quality, 2 good.  Labels without id or with a null rating are left out; without
     any label all scores are 0 and both tails one half.
     """
@@ -152,9 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     model = (
         docs.select("doc_id", "text")
         .join(F.broadcast(rated), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "grade")
+        .select(F.xxhash64("doc_id").alias("by_id"), F.xxhash64("text").alias("by_text"), "grade", "text")
+        .mapInArrow(_found, "by_id long, by_text long, grade int, found binary")
+        .orderBy("by_id", "by_text", "grade")
         .limit(sample_rows)
-        .select("text", "grade")
         .coalesce(1)
         .mapInArrow(_fit_sample(GRADES), "model binary")
         .first()
