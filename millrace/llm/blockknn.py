@@ -4,7 +4,7 @@ Vectors are packed into tiles with one scale each.  A product of two int8 tiles
 distance between them up to a bound known from the rounding errors; pairs whose least possible
 distance is above the k-th smallest of the greatest possible ones cannot be among the k
 nearest.  What is left is computed again in double precision, and heaps of k per query
-merge tiles, then partitions.  The result is exact.
+merge tiles, then cells of query block and row block.  The result is exact.
 """
 
 from __future__ import annotations
@@ -16,9 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TILE_ROWS = 2048
 QUERY_TILE_ROWS = 1024
+QUERY_BYTES = 128 << 20
+ROW_BYTES = 256 << 20
+HELD_BYTES = 64 << 20
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -87,56 +91,88 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Query tiles: ids and vectors of up to ``QUERY_TILE_ROWS`` queries of one dimension."""
-    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-    def out(dim: int) -> pa.RecordBatch:
-        ids = np.concatenate([i for i, _ in held[dim]])
-        vectors = np.concatenate([v for _, v in held[dim]])
-        held[dim] = [(ids[QUERY_TILE_ROWS:], vectors[QUERY_TILE_ROWS:])]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([dim], pa.int32()),
-                pa.array([ids[:QUERY_TILE_ROWS].tobytes()], pa.binary()),
-                pa.array([vectors[:QUERY_TILE_ROWS].tobytes()], pa.binary()),
-            ],
-            ["dim", "ids", "vectors"],
-        )
-
-    for batch in batches:
-        dims = batch["dim"].to_numpy()
-        for dim in np.unique(dims).tolist():
-            some = batch.filter(pa.array(dims == dim))
-            held.setdefault(dim, []).append((some["vec_id"].to_numpy(), _matrix(some["vector"], dim)))
-            while sum(len(i) for i, _ in held[dim]) >= QUERY_TILE_ROWS:
-                yield out(dim)
-    for dim, parts in held.items():
-        if sum(len(i) for i, _ in parts):
-            yield out(dim)
-
-
-def _search(k: int, tiles):
-    """Heaps live for a partition's rows against one block of query tiles."""
+def _packed(dtype: type):
+    """Vectors in pieces of one dimension and lane, at most ``TILE_ROWS`` each.
+
+    Which vectors a lane gets does not depend on their order, so a task that runs again
+    sends each lane the same.  At most ``HELD_BYTES`` wait at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting = 0
+
+        def out(key: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+            parts = held.pop(key)
+            ids = np.concatenate([i for i, _ in parts])
+            vectors = np.concatenate([v for _, v in parts])
+            for at in range(0, len(ids), TILE_ROWS):
+                columns = [
+                    pa.array([key[0]], pa.int32()),
+                    pa.array([key[1]], pa.int32()),
+                    pa.array([ids[at : at + TILE_ROWS].tobytes()], pa.binary()),
+                    pa.array([vectors[at : at + TILE_ROWS].tobytes()], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["dim", "lane", "ids", "vectors"])
+
+        for batch in batches:
+            kinds = np.stack([batch["dim"].to_numpy(), batch["lane"].to_numpy()], axis=1)
+            for dim, lane in np.unique(kinds, axis=0).tolist():
+                some = batch.filter(pa.array((kinds == (dim, lane)).all(axis=1)))
+                vectors = _matrix(some["vector"], dim).astype(dtype)
+                held.setdefault((dim, lane), []).append((some["vec_id"].to_numpy(), vectors))
+                waiting += vectors.nbytes
+            if waiting > HELD_BYTES:
+                for key in list(held):
+                    yield from out(key)
+                waiting = 0
+        for key in list(held):
+            yield from out(key)
+
+    return run
+
+
+def _tiles(pieces: list[tuple[np.ndarray, np.ndarray]], size: int) -> Iterator[Tile]:
+    ids = np.concatenate([i for i, _ in pieces])
+    vectors = np.concatenate([v for _, v in pieces])
+    for at in range(0, len(ids), size):
+        yield Tile(ids[at : at + size], vectors[at : at + size].astype(np.float64))
+
+
+def _search(k: int, dtype: type):
+    """One cell: its query pieces come first and get heaps, its rows stream past them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = [
-            Tile(np.frombuffer(ids, np.int64), np.frombuffer(vectors, np.float64).reshape(-1, dim))
-            for dim, ids, vectors in tiles.value
-        ]
-        heaps = [[[] for _ in q.ids] for q in queries]
+        asked: dict[int, list] = {}
+        queries: dict[int, list[tuple[Tile, list[list]]]] | None = None
+        waiting: dict[int, list] = {}
+
+        def meet(dim: int) -> None:
+            for rows in _tiles(waiting.pop(dim), TILE_ROWS):
+                for tile, heaps in queries.get(dim, []):
+                    nearest_in_tile(tile, rows, k, heaps)
+
         for batch in batches:
-            dims = batch["dim"].to_numpy()
-            for dim in np.unique(dims).tolist():
-                some = batch.filter(pa.array(dims == dim))
-                ids, vectors = some["vec_id"].to_numpy(), _matrix(some["vector"], dim)
-                for at in range(0, len(ids), TILE_ROWS):
-                    rows = Tile(ids[at : at + TILE_ROWS], vectors[at : at + TILE_ROWS])
-                    for tile, own in zip(queries, heaps):
-                        if tile.vectors.shape[1] == dim:
-                            nearest_in_tile(tile, rows, k, own)
-        for tile, own in zip(queries, heaps):
-            found = [(q, -i, -d) for q, heap in zip(tile.ids.tolist(), own) for d, i in heap]
+            for piece in batch.to_pylist():
+                dim = piece["dim"]
+                vectors = np.frombuffer(piece["vectors"], dtype).reshape(-1, dim)
+                part = np.frombuffer(piece["ids"], np.int64), vectors
+                if not piece["is_row"]:
+                    asked.setdefault(dim, []).append(part)
+                    continue
+                if queries is None:
+                    queries = {
+                        d: [(tile, [[] for _ in tile.ids]) for tile in _tiles(parts, QUERY_TILE_ROWS)]
+                        for d, parts in asked.items()
+                    }
+                    asked = {}
+                waiting.setdefault(dim, []).append(part)
+                if sum(len(ids) for ids, _ in waiting[dim]) >= TILE_ROWS:
+                    meet(dim)
+        for dim in list(waiting):
+            meet(dim)
+        for tile, heaps in (pair for pairs in (queries or {}).values() for pair in pairs):
+            found = [(q, -i, -d) for q, heap in zip(tile.ids.tolist(), heaps) for d, i in heap]
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))],
@@ -147,34 +183,56 @@ def _search(k: int, tiles):
 
 
 def nearest(
-    vectors: DataFrame, is_query, k: int = 10, block_bytes: int = 64 << 20
+    vectors: DataFrame,
+    is_query,
+    k: int = 10,
+    query_bytes: int = QUERY_BYTES,
+    row_bytes: int = ROW_BYTES,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` nearest other rows, exactly.
 
     ``vectors`` has ``vec_id`` and ``embedding``; other columns are ignored.  Rows without
     id and vectors null, zero or with a null or non-finite component take no part; vectors of
     different dimension are not compared.  Ties go to the smaller id; a row is never its own
-    neighbour, nor is one with the same id; repeated rows count once.  Queries go out in blocks of tiles of at most
-    ``block_bytes``, each searched against all rows.
+    neighbour, nor is one with the same id; repeated rows count once.
+
+    Queries lie in blocks of about ``query_bytes``, rows in blocks of about ``row_bytes``, both
+    counted; a pair of blocks is a cell, and one task's work.  So rows are sent once for each
+    block of queries and queries once for each block of rows; nothing passes the driver.
     """
     spark = vectors.sparkSession
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    dtype = np.float32 if single else np.float64
     rows = usable(vectors)
-    found: DataFrame | None = None
-    schema = "query_id long, vec_id long, score double"
-
-    def searched(block: list[tuple]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
-        part = rows.mapInArrow(_search(k, sent), schema)
-        return part if found is None else found.union(part)
-
-    block, size = [], 0
-    for tile in rows.where(is_query).mapInArrow(_packed, "dim int, ids binary, vectors binary").toLocalIterator():
-        block.append((tile["dim"], bytes(tile["ids"]), bytes(tile["vectors"])))
-        size += len(block[-1][2])
-        if size >= block_bytes:
-            found, block, size = searched(block), [], 0
-    if block or found is None:
-        found = searched(block)
+    width = F.coalesce(F.size("embedding"), F.lit(0)).cast("long") * np.dtype(dtype).itemsize
+    asked = F.coalesce(F.sum(F.when(is_query, width)), F.lit(0))
+    total = F.coalesce(F.sum(width), F.lit(0))
+    query_size, row_size = vectors.where("vec_id is not null and embedding is not null").agg(asked, total).first()
+    query_blocks = max(-(-query_size // query_bytes), 1)
+    row_blocks = max(-(-row_size // row_bytes), -(-spark.sparkContext.defaultParallelism // query_blocks))
+
+    def pieces(some: DataFrame, lanes: int) -> DataFrame:
+        lane = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(lanes)).cast("int")
+        packed = some.select("vec_id", "vector", "dim", lane.alias("lane"))
+        return packed.mapInArrow(_packed(dtype), "dim int, lane int, ids binary, vectors binary")
+
+    def every(blocks: int, step: int):
+        return F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) * step), F.lit(step)))
+
+    content = ["dim", "ids", "vectors"]
+    of_queries = pieces(rows.where(is_query), query_blocks).select(
+        F.lit(False).alias("is_row"), *content, (F.col("lane") * row_blocks).alias("from"), every(row_blocks, 1).alias("block")
+    )
+    of_rows = pieces(rows, row_blocks).select(
+        F.lit(True).alias("is_row"), *content, F.col("lane").alias("from"), every(query_blocks, row_blocks).alias("block")
+    )
+    found = (
+        of_queries.unionByName(of_rows)
+        .select("is_row", *content, (F.col("from") + F.col("block")).alias("cell"))
+        .repartitionById(query_blocks * row_blocks, "cell")
+        .sortWithinPartitions("is_row")
+        .mapInArrow(_search(k, dtype), "query_id long, vec_id long, score double")
+    )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

@@ -223,7 +223,7 @@ def test_neighbours(spark):
     listed += [(800, [float("nan")] + [1.0] * 7, 0), (900, [float("inf")] + [1.0] * 7, 0), (1000, [1.0, 2.0], 0), (1001, [1.5, 2.0], 0)]
     listed += [(None, [1.0] * 8, 0), listed[3], listed[100]]
     vectors = spark.createDataFrame(listed, "vec_id long, embedding array<float>, rank int")
-    got = [tuple(r) for r in blockknn.nearest(vectors, F.col("vec_id") % 100 == 0, 10, block_bytes=64).collect()]
+    got = [tuple(r) for r in blockknn.nearest(vectors, F.col("vec_id") % 100 == 0, 10, query_bytes=64, row_bytes=4096).collect()]
     good = {}
     for k, v, _ in listed:
         if k is not None and v is not None and None not in v and all(map(math.isfinite, v)) and any(v):
