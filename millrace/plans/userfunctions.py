@@ -5,10 +5,13 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.batchaggregates import Fold, aggregate_batches
 from millrace.operators.tablefunctions import register_table_functions
 from millrace.operators.windowrows import window_rows
 from millrace.plans.tables import table
@@ -64,6 +67,37 @@ def window_median_type_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_rows(events, "ts", "6 hours", ["event_type"], [], _middle, median)
 
 
+def _count_hours(states: dict, codes: np.ndarray, batch) -> None:
+    np.add.at(states["hours"], (codes, pc.hour(batch["ts"]).to_numpy()), 1)
+
+
+def _add_hours(states: dict, codes: np.ndarray, others: dict) -> None:
+    np.add.at(states["hours"], codes, others["hours"])
+
+
+def _around_the_clock(states: dict) -> list[np.ndarray]:
+    """Busiest hour (the earliest of equals), its count, and the longest stretch of idle hours, over midnight too."""
+    hours = states["hours"]
+    idle = np.concatenate([hours, hours], axis=1) == 0
+    stretch, longest = np.zeros(len(hours), np.int64), np.zeros(len(hours), np.int64)
+    for column in idle.T:
+        stretch = np.where(column, stretch + 1, 0)
+        longest = np.maximum(longest, stretch)
+    return [hours.argmax(axis=1), hours.max(axis=1), np.minimum(longest, 24)]
+
+
+CLOCK = Fold({"hours": np.zeros(24, np.int64)}, _count_hours, _add_hours, _around_the_clock)
+AROUND = T.StructType([T.StructField(name, T.LongType()) for name in ("busiest_hour", "most", "idle_hours")])
+
+
+def around_the_clock_user_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a day looks like for each user and type of event: an aggregate over batches."""
+    # Without a zone the hour is that of the value as it is stored.
+    ts = F.col("ts").cast("timestamp_ntz").alias("ts")
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", ts)
+    return aggregate_batches(events, ["user_id", "event_type"], CLOCK, AROUND)
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -71,6 +105,7 @@ QUERIES = {
         window_gap_user_1d,
         window_gap_1h,
         window_median_type_6h,
+        around_the_clock_user_type,
     )
 }
 
@@ -94,6 +129,17 @@ ORACLES = {
                list_sort(list(value))[(count(*) - 1) // 2 + 1] AS median_value
         FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS window_start FROM events)
         GROUP BY window_start, event_type""",
+    "around_the_clock_user_type": """
+        WITH hours AS (
+          SELECT user_id, event_type, CAST(hour(ts) AS BIGINT) AS h, count(*) AS n FROM events GROUP BY ALL
+        ), gaps AS (
+          SELECT *, coalesce(lead(h) OVER w, min(h) OVER (PARTITION BY user_id, event_type) + 24) - h - 1 AS gap
+          FROM hours WINDOW w AS (PARTITION BY user_id, event_type ORDER BY h)
+        )
+        SELECT user_id, event_type, CAST(split_part(max(lpad(CAST(n AS VARCHAR), 18, '0') || ':' ||
+                 lpad(CAST(23 - h AS VARCHAR), 2, '0')), ':', 2) AS BIGINT) * -1 + 23 AS busiest_hour,
+               max(n) AS most, max(gap) AS idle_hours
+        FROM gaps GROUP BY user_id, event_type""",
     "props_by_table_function": """
         SELECT event_id, 'k' AS name,
                CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS number
