@@ -2,7 +2,9 @@
 
 A key's order is serial, so its rows of one micro-batch meet in one task.  Bound
 the micro-batch at the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
-and that task is bounded too.  A pattern also keeps the key's rows within its bound,
+and that task is bounded too.  Changelog and count windows take the keys of a bucket at a
+time, because a call for each key would cost more than its rows; their state is still
+read and written key by key.  A pattern also keeps the key's rows within its bound,
 and loads them when the key arrives.  For keys too large for that, and for working
 off a backlog, use ``streaming.microbatch``, which splits hot keys.
 
@@ -19,7 +21,7 @@ from datetime import timedelta
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,6 +32,7 @@ from millrace.operators.pattern import Stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROW_LIMIT = 100_000
+KEY_BUCKETS = 1 << 10  # part of the state's layout: a checkpoint keeps to it
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -59,6 +62,102 @@ def _per_key(
     )
 
 
+def _exact(df: DataFrame, name: str, to: str) -> list[Column]:
+    """A column and whether it is null; pandas would turn whole numbers with nulls into floats."""
+    value = F.col(name)
+    if isinstance(df.schema[name].dataType, (T.IntegralType, T.BooleanType)):
+        value = F.coalesce(value, F.lit(0).cast(df.schema[name].dataType))
+    return [value.alias(to), F.col(name).isNull().alias(f"{to}_null")]
+
+
+def _per_bucket(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    values: Sequence[Column],
+    processor: _Keyed,
+    schema: T.StructType,
+) -> DataFrame:
+    """Rows of many keys at a time, as ``k0, k0_null, ..., o0, o0_null, ..., v0, ...``."""
+    # Order columns have their flags too: nulls come last.
+    return (
+        df.select(
+            F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).alias("bucket"),
+            *[column for k, name in enumerate(keys) for column in _exact(df, name, f"k{k}")],
+            *[column for k, name in enumerate(order_by) for column in _exact(df, name, f"o{k}")],
+            *[value.alias(f"v{k}") for k, value in enumerate(values)],
+        )
+        .groupBy("bucket")
+        .transformWithStateInPandas(processor, schema, "append", "none")
+    )
+
+
+class _Keyed(StatefulProcessor):
+    """A value of the state for each key of a bucket, read and written once a micro-batch."""
+
+    def __init__(
+        self, keys: Sequence[str], types: Sequence[T.DataType], order_by: Sequence[str], state: str
+    ):
+        self._keys, self._types = list(keys), list(types)
+        self._order_by, self._state = list(order_by), state
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        key = T.StructType([T.StructField(f"k{k}", kind) for k, kind in enumerate(self._types)])
+        self._held = handle.getMapState("keys", key, self._state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        names = [f"k{k}{end}" for k in range(len(self._keys)) for end in ("_null", "")]
+        group = frame.groupby(names, sort=False, dropna=False).ngroup().to_numpy()
+        order = [
+            frame[f"o{k}{end}"].to_numpy()
+            for k in range(len(self._order_by))
+            for end in ("_null", "")
+        ]
+        order = _ascending([group, *order])
+        frame, group = frame.iloc[order].reset_index(drop=True), group[order]
+        begin = np.flatnonzero(np.diff(group, prepend=-1))
+        known = _objects(frame.iloc[begin], len(self._keys))
+        held = [self._held.getValue(one) if self._held.containsKey(one) else None for one in known]
+        number = np.cumsum(np.diff(group, prepend=-1) != 0) - 1
+        found, row, after = self._step(frame, number, begin, held)
+        for one, value in zip(known, after):
+            self._held.updateValue(one, value)
+        for k, name in enumerate(self._keys):
+            column = frame[f"k{k}"].iloc[row].reset_index(drop=True)
+            null = frame[f"k{k}_null"].to_numpy(dtype=bool)[row]
+            found[name] = column.astype(object).where(~null, None) if null.any() else column
+        yield found
+
+    def _step(self, frame, number, begin, held) -> tuple[pd.DataFrame, np.ndarray, list[tuple]]:
+        """What to report, the row whose key each line has, and the state of each key.
+
+        Rows come by key and in order; ``number`` tells the key, ``begin`` its first row.
+        """
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+def _ascending(columns: Sequence[np.ndarray]) -> np.ndarray:
+    """The stable order of rows, nulls last, the first column first."""
+    if any(column.dtype == object for column in columns):
+        frame = pd.DataFrame(dict(enumerate(columns)))
+        return frame.sort_values(list(frame.columns), kind="stable").index.to_numpy()
+    return np.lexsort(columns[::-1])
+
+
+def _objects(frame: pd.DataFrame, keys: int) -> list[tuple]:
+    """The keys of rows as the state knows them."""
+    columns = []
+    for k in range(keys):
+        values = frame[f"k{k}"].astype(object).to_list()
+        columns.append([None if no else v for v, no in zip(values, frame[f"k{k}_null"])])
+    return list(zip(*columns))
+
+
 def _with_keys(frame: pd.DataFrame, keys: Sequence[str], key: tuple) -> pd.DataFrame:
     for name, value in zip(keys, key):
         frame[name] = value
@@ -69,36 +168,29 @@ def _schema(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [df.schema[name] for name in names]
 
 
-class _ChangelogCount(StatefulProcessor):
-    def __init__(self, names, keys, order_by, out):
-        self._names, self._keys = names, keys
-        self._order_by, self._out = order_by, out
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._count = handle.getValueState("count", "value long")
+class _ChangelogCount(_Keyed):
+    def __init__(self, keys, types, order_by, out):
+        super().__init__(keys, types, order_by, "value long")
+        self._out = out
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        step = _in_order(rows, self._names, self._order_by)["_step"].to_numpy()
-        known = self._count.exists()
-        before = self._count.get()[0] if known else 0
-        after = before + np.cumsum(step)
+    def _step(self, frame, number, begin, held):
+        step = frame["v0"].to_numpy(dtype="int64")
+        before = np.array([0 if one is None else one[0] for one in held], dtype="int64")
+        total = np.cumsum(step)
+        after = (before - (total - step)[begin])[number] + total
         changed = step == 1
         adds = changed.copy()
         retracts = changed.copy()
-        if not known:
-            adds[0], retracts[0] = True, False
+        new = begin[[one is None for one in held]]
+        adds[new], retracts[new] = True, False
         # Retraction and addition of one input row lie next to each other.
         emit = np.column_stack([retracts, adds]).ravel()
         values = np.column_stack([after - step, after]).ravel()[emit]
-        flags = np.tile([False, True], len(step))[emit]
-        self._count.update((int(after[-1]),))
-        frame = pd.DataFrame({"is_add": flags})
-        frame = _with_keys(frame, self._keys, key)
-        frame[self._out] = values
-        yield frame
-
-    def close(self) -> None:
-        pass
+        found = pd.DataFrame({"is_add": np.tile([False, True], len(step))[emit]})
+        found[self._out] = values
+        last = np.append(begin[1:], len(step)) - 1
+        row = np.repeat(np.arange(len(step)), 2)[emit]
+        return found, row, [(count,) for count in after[last].tolist()]
 
 
 def stream_changelog_count(
@@ -118,49 +210,47 @@ def stream_changelog_count(
             T.StructField(out, T.LongType()),
         ]
     )
-    needed = df.select(*keys, *order_by, step.cast("bigint").alias("_step"))
-    processor = _ChangelogCount(needed.columns, list(keys), list(order_by), out)
-    return _per_key(needed, keys, processor, schema)
-
+    processor = _ChangelogCount(keys, [df.schema[key].dataType for key in keys], order_by, out)
+    return _per_bucket(df, keys, order_by, [step.cast("bigint")], processor, schema)
 
-class _CountWindows(StatefulProcessor):
-    def __init__(self, names, keys, order_by, value, size):
-        self._names, self._keys, self._order_by = names, keys, order_by
-        self._value, self._size = value, size
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._open = handle.getValueState(
-            "open", "window long, rows long, total long, values long"
+class _CountWindows(_Keyed):
+    def __init__(self, keys, types, order_by, size):
+        super().__init__(
+            keys, types, order_by, "window long, rows long, total long, values long"
         )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ordered = _in_order(rows, self._names, self._order_by)
-        values = ordered[self._value].to_numpy(dtype="int64")
-        window, filled, total, known = (
-            self._open.get() if self._open.exists() else (0, 0, 0, 0)
+        self._size = size
+
+    def _step(self, frame, number, begin, held):
+        rows = np.diff(np.append(begin, len(number)))
+        window, filled, total, known = np.array(
+            [(0, 0, 0, 0) if one is None else tuple(one) for one in held], dtype="int64"
+        ).T
+        place = filled[number] + np.arange(len(number)) - begin[number]
+        offset = place // self._size
+        # The first row of each window, or of what a window has of this micro-batch.
+        first = np.flatnonzero((np.diff(number, prepend=-1) != 0) | (np.diff(offset, prepend=-1) != 0))
+        sums = np.add.reduceat(frame["v0"].to_numpy(dtype="int64"), first)
+        counts = np.add.reduceat(frame["v1"].to_numpy(dtype="int64"), first)
+        of, offset = number[first], offset[first]
+        opening = np.searchsorted(first, begin)
+        sums[opening] += total
+        counts[opening] += known
+        closed = (filled + rows) // self._size
+        left = (filled + rows) % self._size
+        final = np.searchsorted(of, np.arange(len(begin)), side="right") - 1
+        after = np.column_stack(
+            [window + closed, left, np.where(left, sums[final], 0), np.where(left, counts[final], 0)]
         )
-        offset = (filled + np.arange(len(values))) // self._size
-        sums = np.zeros(offset[-1] + 1, dtype="int64")
-        counts = np.zeros(offset[-1] + 1, dtype="int64")
-        np.add.at(sums, offset, values)
-        np.add.at(counts, offset, ordered["_has"].to_numpy(dtype="int64"))
-        sums[0] += total
-        counts[0] += known
-        closed = (filled + len(values)) // self._size
-        left = (filled + len(values)) % self._size
-        rest = (int(sums[closed]), int(counts[closed])) if left else (0, 0)
-        self._open.update((int(window + closed), int(left), *rest))
-        sums, counts = sums[:closed], counts[:closed]
+        done = offset < closed[of]
+        of, sums, counts, row = of[done], sums[done], counts[done], first[done]
         # Whole-number division with the fraction cut off, also below zero.
         mean = np.sign(sums) * (np.abs(sums) // np.maximum(counts, 1))
-        frame = pd.DataFrame({"window_index": window + np.arange(closed)})
-        frame["total"] = pd.array(sums, dtype="Int64")
-        frame["mean"] = pd.array(mean, dtype="Float64")
-        frame.loc[counts == 0, ["total", "mean"]] = pd.NA
-        yield _with_keys(frame, self._keys, key)
-
-    def close(self) -> None:
-        pass
+        found = pd.DataFrame({"window_index": window[of] + offset[done]})
+        found["total"] = pd.array(sums, dtype="Int64")
+        found["mean"] = pd.array(mean, dtype="Float64")
+        found.loc[counts == 0, ["total", "mean"]] = pd.NA
+        return found, row, [tuple(one) for one in after.tolist()]
 
 
 def stream_count_windows(
@@ -185,11 +275,8 @@ def stream_count_windows(
     # Null adds nothing to a window but takes one of its places; see ``closed_windows``.
     number = F.coalesce(F.col(value).cast("bigint"), F.lit(0))
     has = F.col(value).isNotNull().cast("bigint")
-    needed = df.select(*keys, *order_by, number.alias("_value"), has.alias("_has"))
-    processor = _CountWindows(
-        needed.columns, list(keys), list(order_by), "_value", size
-    )
-    return _per_key(needed, keys, processor, schema)
+    processor = _CountWindows(keys, [df.schema[key].dataType for key in keys], order_by, size)
+    return _per_bucket(df, keys, order_by, [number, has], processor, schema)
 
 
 def _extended(
