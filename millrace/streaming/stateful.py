@@ -40,17 +40,6 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"c{position}" for position in range(len(df.columns))])
 
 
-def _in_order(
-    rows: Iterator[pd.DataFrame], names: Sequence[str], order_by: Sequence[str]
-) -> pd.DataFrame:
-    original = {f"c{position}": name for position, name in enumerate(names)}
-    return (
-        pd.concat(list(rows), ignore_index=True)
-        .rename(columns=original)
-        .sort_values(list(order_by), kind="stable", ignore_index=True)
-    )
-
-
 def _per_key(
     df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema, time: str = "none"
 ) -> DataFrame:
@@ -309,6 +298,25 @@ def _extended(
         first = until
 
 
+def _columns(
+    rows: Iterator[pd.DataFrame], names: Sequence[str], wanted: Sequence[str]
+) -> dict[str, np.ndarray]:
+    """The wanted columns as arrays: a frame's own operations cost more than a key's few rows."""
+    frames = list(rows)
+    frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    place = {name: position for position, name in enumerate(names)}
+    return {name: frame[f"c{place[name]}"].to_numpy() for name in wanted}
+
+
+def _values(column: np.ndarray) -> list:
+    """Python values for the state, null for what pandas calls missing."""
+    missing = pd.isna(column)
+    values = (column.astype("datetime64[us]") if column.dtype.kind == "M" else column).tolist()
+    if missing.any():
+        values = [None if no else value for value, no in zip(values, missing)]
+    return values
+
+
 class _Pattern(StatefulProcessor):
     """Keeps the rows of all stages, as far back as a late row's matches reach.
 
@@ -332,31 +340,40 @@ class _Pattern(StatefulProcessor):
         self._newest = handle.getValueState("newest", "micros long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _in_order(rows, self._input_names, self._order_by)[self._names]
-        old = pd.DataFrame(list(self._kept.get()), columns=self._names)
-        held = len(old)
+        new = _columns(rows, self._input_names, self._names)
+        # A key has rows of the state only along with its newest time.
         seen = self._newest.get()[0] if self._newest.exists() else None
-        if seen is not None:
+        held = list(self._kept.get()) if seen is not None else []
+        known = new
+        if held:
+            old = pd.DataFrame(held, columns=self._names)
             old = old[old["_micros"] >= seen - self._within - self._lateness]
-        known = pd.concat([old, new], ignore_index=True) if len(old) else new
-        fresh = np.arange(len(known)) >= len(old)
-        order = known.sort_values(self._order_by, kind="stable").index.to_numpy()
-        in_order, fresh = known.loc[order].reset_index(drop=True), fresh[order]
-        micros = in_order["_micros"].to_numpy(dtype="int64")
+            known = {
+                name: pd.concat([old[name], pd.Series(new[name])]).to_numpy()
+                if len(old)
+                else new[name]
+                for name in self._names
+            }
+        fresh = np.arange(len(known["_micros"])) >= len(known["_micros"]) - len(new["_micros"])
+        order = _ascending([known[name] for name in self._order_by])
+        in_order = {name: values[order] for name, values in known.items()}
+        micros = in_order["_micros"].astype("int64", copy=False)
         flags = [
-            in_order[f"_is_{position}"].to_numpy(dtype=bool)
+            in_order[f"_is_{position}"].astype(bool, copy=False)
             for position in range(len(self._stages))
         ]
-        yield from self._matches(in_order, micros, flags, fresh, key)
+        yield from self._matches(in_order, micros, flags, fresh[order], key)
         newest = int(max(micros[-1], seen if seen is not None else micros[-1]))
         horizon = newest - self._within - self._lateness
-        still = int((old["_micros"] >= horizon).sum()) if len(old) else 0
-        if 2 * still <= held:
+        recent = known["_micros"] >= horizon
+        still = int(recent[~fresh].sum())
+        if held and 2 * still <= len(held):
             self._kept.clear()
-            self._keep(known[known["_micros"] >= horizon])
+            self._keep(known, np.flatnonzero(recent))
         else:
-            self._keep(new[new["_micros"] >= horizon])
-        self._newest.update((newest,))
+            self._keep(known, np.flatnonzero(recent & fresh))
+        if newest != seen:
+            self._newest.update((newest,))
         if seen is None:
             self._wake(newest)
 
@@ -374,11 +391,10 @@ class _Pattern(StatefulProcessor):
         """One timer a key, just behind its newest row."""
         self._handle.registerTimer(newest // 1000 + 1)
 
-    def _keep(self, rows: pd.DataFrame) -> None:
+    def _keep(self, known: dict[str, np.ndarray], rows: np.ndarray) -> None:
         for first in range(0, len(rows), ROW_LIMIT):
-            chunk = rows.iloc[first : first + ROW_LIMIT].astype(object)
-            chunk = chunk.where(chunk.notna(), None)
-            self._kept.appendList(list(chunk.itertuples(index=False, name=None)))
+            some = rows[first : first + ROW_LIMIT]
+            self._kept.appendList(list(zip(*(_values(known[name][some]) for name in self._names))))
 
     def _matches(self, known, micros, flags, fresh, key) -> Iterator[pd.DataFrame]:
         """All chains with a new row, in pieces of bounded size."""
@@ -394,9 +410,8 @@ class _Pattern(StatefulProcessor):
                 continue
             frame = _with_keys(pd.DataFrame(index=range(len(chains))), self._keys, key)
             for position, stage in enumerate(self._stages):
-                taken = known.iloc[chains[:, position]]
                 for column in self._columns:
-                    frame[f"{stage}_{column}"] = taken[column].to_numpy()
+                    frame[f"{stage}_{column}"] = known[column][chains[:, position]]
             yield frame
 
     def close(self) -> None:

@@ -124,3 +124,24 @@ def test_count_windows_take_many_keys_in_one_call():
     found = _lines(windows.handleInputRows((7,), _bucket(more, "v0", "v1"), None))
     assert sorted(found) == [(0, 7, 3.0, 2), (1, -9, -9.0, 1)]
     assert state.map[(1,)] == (2, 0, 0, 0) and state.map[(2,)] == (1, 1, 5, 1)
+
+
+def test_a_new_keys_pattern_state_is_only_written():
+    names = ["k", "ts", "id", "_micros", "_is_0", "_is_1"]
+    state = _State()
+    kept = T.StructType().add("ts", "timestamp_ntz").add("id", "long").add("_micros", "long")
+    kept = kept.add("_is_0", "boolean").add("_is_1", "boolean")
+    pattern = stateful._Pattern(names, ["k"], ["ts", "id"], ["a", "b"], ["id"], 10_000_000, 0, kept)
+    pattern.init(state)
+
+    def batch(*rows):
+        filled = [(1, pd.Timestamp(s, unit="s"), i, s * 1_000_000, a, not a) for s, i, a in rows]
+        return iter([pd.DataFrame(filled, columns=[f"c{k}" for k in range(len(names))])])
+
+    assert list(pattern.handleInputRows((1,), batch((5, 2, False), (3, 1, True)), None))[0].values.tolist() == [[1, 1, 2]]
+    assert state.calls == ["append", "newest", "timer"]
+    assert sorted(row[1] for row in state.rows) == [1, 2]
+    found = _lines(pattern.handleInputRows((1,), batch((9, 3, False)), None))
+    assert found == [(1, 1, 3)]
+    found = _lines(pattern.handleInputRows((1,), batch((90, 4, False)), None))
+    assert found == [] and [row[1] for row in state.rows] == [4]
