@@ -114,3 +114,20 @@ def test_texts_cost_less_than_their_letters_alone_and_copies_less_than_others(sp
         assert bits < alone
         if doc_id != 109:  # a copy of trained texts
             assert bits < cost[109] / 1.5, cost
+
+
+def test_neighbours_share_a_prediction(monkeypatch):
+    """Runs that differ in bits to come only are looked up once, at the same cost to the bit."""
+    rng = np.random.default_rng(5)
+    hashed = rng.integers(-128, 127, (mixlm.HASHED, 1 << 12)).astype(np.int8)
+    signs = rng.integers(0, 256, (mixlm.HASHED, 1 << 12)).astype(np.uint8)
+    dense = [rng.integers(-128, 127, 1 << (8 * k + 8)).astype(np.int8) for k in range(mixlm.DENSE)]
+    model = mixlm.Model(dense, signs, hashed, 0, None, rng.uniform(0.1, 0.9, 256 * mixlm.REFINE_STEPS))
+    key = np.unique(rng.integers(0, 40, 3000).astype(np.uint64) << np.uint64(8) | rng.integers(97, 123, 3000).astype(np.uint64))
+    made = []
+    inputs = model.inputs
+    monkeypatch.setattr(model, "inputs", lambda seen, place, node: made.append(len(node)) or inputs(seen, place, node))
+    cost = model.log2_cost(key)
+    assert made[0] == len(np.unique(key >> np.uint64(8))) and sum(made) < 4 * len(key)
+    alone = np.concatenate([model.log2_cost(key[k : k + 1]) for k in range(len(key))])
+    assert np.array_equal(cost, alone)
