@@ -63,16 +63,21 @@ def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def grams(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Each byte with up to ``MOST_ORDER`` before it in its row, the byte itself lowest."""
-    place = np.arange(len(text)) - np.repeat(begin[:-1], np.diff(begin))
     key = text.astype(np.uint64)
-    for back in range(1, MOST_ORDER + 1):
-        before = np.zeros(len(text), np.uint64)
-        before[back:] = text[:-back]
-        before[place < back] = 0
-        key |= before << np.uint64(8 * back)
+    for step in (1, 2, 4):  # so many bytes are there, as many before them join
+        key[step:] |= key[:-step] << np.uint64(8 * step)
+    key &= np.uint64((1 << (8 * MOST_ORDER + 8)) - 1)
+    for place in range(MOST_ORDER):
+        at = begin[:-1] + place
+        key[at[at < begin[1:]]] &= np.uint64((1 << (8 * place + 8)) - 1)
     return key
 
 
+def nearest_first(key: np.ndarray) -> np.ndarray:
+    """For sorting: the byte before the last one counts most, the one before it next; the last byte least."""
+    return (key & np.uint64((1 << (8 * MOST_ORDER + 8)) - 256)).byteswap() | (key & np.uint64(255))
+
+
 def contexts(key: np.ndarray) -> list[np.ndarray]:
     """What each predictor looks at: the last 0, 1, 2 bytes as they are, then hashes of the
     last 3, 4, ... bytes and of the word so far."""
@@ -121,7 +126,10 @@ _OF_NODE = np.arange(256, dtype=np.uint64) * np.uint64(tokens.BASE * _FACTOR % (
 
 def _slots(context: np.ndarray, node: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Slot within a shard's segment of ``2^width``, and the sign that tells contexts of a slot apart."""
-    h = context + _OF_NODE.take(node)
+    return _parted(context + _OF_NODE.take(node), width)
+
+
+def _parted(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - width)).view(np.int64), h.view(np.uint8)[3::8]
 
 
@@ -277,13 +285,13 @@ class Model:
         """Predictions by order, and the gate: longest known context and bit place."""
         context, base = seen
         found = np.empty((ORDERS, len(node)), np.int8)
-        longest = np.zeros(len(node), np.int8)
+        longest, of_node = np.zeros(len(node), np.int8), _OF_NODE.take(node)
         for k in range(ORDERS):
             if k < DENSE:
                 said = self.dense[k].take(context[k] | node)
                 known = said != -128
             else:
-                slot, sign = _slots(context[k], node, self.width)
+                slot, sign = _parted(context[k] + of_node, self.width)
                 slot |= base
                 entry = self.entries[k - DENSE].take(slot)
                 parts = entry.view(np.uint8)
@@ -328,7 +336,9 @@ class Model:
 
     def log2_cost(self, key: np.ndarray) -> np.ndarray:
         """Bits that each byte costs, the refinement averaged with what it refines."""
-        cost = np.zeros(len(key))
+        # Runs that end alike look at the same slots: one after the other, these stay in the cache.
+        order = np.argsort(nearest_first(key))
+        key, cost = key[order], np.zeros(len(key))
         for at in range(0, len(key), 1 << 15):
             some = key[at : at + (1 << 15)]
             context, base = self.contexts(some)
@@ -345,6 +355,7 @@ class Model:
                 if fewer:
                     one = np.repeat(one, np.diff(first, append=len(some)))
                 cost[at : at + (1 << 15)] -= np.log2(np.where(bit == 1, one, 1 - one))
+        cost[order] = cost.copy()
         return cost
 
 

@@ -131,3 +131,17 @@ def test_neighbours_share_a_prediction(monkeypatch):
     assert made[0] == len(np.unique(key >> np.uint64(8))) and sum(made) < 4 * len(key)
     alone = np.concatenate([model.log2_cost(key[k : k + 1]) for k in range(len(key))])
     assert np.array_equal(cost, alone)
+
+
+def test_runs_hold_the_bytes_before_in_their_row_and_sort_by_the_nearest():
+    draw = np.random.default_rng(5)
+    begin = np.concatenate([[0], np.cumsum(draw.integers(0, 12, 40))])
+    text = draw.integers(0, 256, int(begin[-1])).astype(np.uint8)
+    expected = []
+    for a, b in zip(begin[:-1], begin[1:]):
+        row = bytes(text[a:b])
+        expected += [int.from_bytes(row[max(0, k - mixlm.MOST_ORDER) : k + 1], "big") for k in range(len(row))]
+    key = mixlm.grams(text, begin)
+    assert key.tolist() == expected
+    by_near = sorted(expected, key=lambda k: (k >> 8).to_bytes(mixlm.MOST_ORDER, "little") + bytes([k & 255]))
+    assert key[np.argsort(mixlm.nearest_first(key), kind="stable")].tolist() == by_near
