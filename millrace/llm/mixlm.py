@@ -36,6 +36,7 @@ SHARD_RUNS = 1 << 18
 MOST_SHARD_BITS = 14
 SPREAD = 10_368_889
 HELD_GRAMS = 3_000_000
+NEAR_BITS = 21
 LEARN_AT_ONCE = 1024
 LEARNING_RATE = 0.05
 PASSES = 3
@@ -140,13 +141,19 @@ def _bits(key: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield place, (1 << place) | (byte >> (8 - place)), (byte >> (7 - place)) & 1
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted; faster than ``np.unique``, which hashes or sorts places."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]]
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by key of parts that are sorted and distinct each."""
+    keys = _distinct(np.concatenate([k for k, _ in parts]))
+    counts = np.zeros(len(keys), np.int64)
+    for some, n in parts:
+        counts[np.searchsorted(keys, some)] += n
+    return keys, counts
 
 
 class Counter:
@@ -170,10 +177,7 @@ class Counter:
         return out
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        parts = [(self.keys, self.counts), *self.parts]
-        self.keys, self.counts = _summed(
-            np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
-        )
+        self.keys, self.counts = _summed([(self.keys, self.counts), *self.parts])
         self.parts, self.waiting = [], 0
         return self.keys, self.counts
 
@@ -360,10 +364,34 @@ class Model:
 
 
 class Costs:
-    """Costs of byte runs, kept from chunk to chunk while they are at most ``HELD_GRAMS``."""
+    """Costs of byte runs, kept from chunk to chunk while they are at most ``HELD_GRAMS``.
+
+    Before them a table with a place by hash for one run each, the last one that wanted it:
+    most bytes of a chunk are found there, and only the others are sorted.
+    """
 
     def __init__(self, model: Model) -> None:
         self.model, self.keys, self.costs = model, np.zeros(0, np.uint64), np.zeros(0)
+        self.near_keys, self.near_costs = np.zeros(1 << NEAR_BITS, np.uint64), np.zeros(1 << NEAR_BITS)
+        # Empty places hold a run that belongs elsewhere: 0 has the first place, 1 another.
+        self.near_keys[0] = 1
+
+    def each(self, runs: np.ndarray) -> np.ndarray:
+        """Bits that each of some runs costs, in their order."""
+        place = _near(runs)
+        cost = self.near_costs.take(place)
+        far = np.flatnonzero(self.near_keys.take(place) != runs)
+        if len(far):
+            rest = runs[far]
+            found = _distinct(rest)
+            costs, slots = self.of(found), _near(found)
+            self.near_keys[slots], self.near_costs[slots] = found, costs
+            place = place[far]
+            cost[far] = self.near_costs.take(place)
+            # Of runs that want the same place one has it.
+            crowded = np.flatnonzero(self.near_keys.take(place) != rest)
+            cost[far[crowded]] = costs[np.searchsorted(found, rest[crowded])]
+        return cost
 
     def of(self, found: np.ndarray) -> np.ndarray:
         """Bits that each of some sorted distinct runs costs."""
@@ -382,6 +410,10 @@ class Costs:
         return cost
 
 
+def _near(key: np.ndarray) -> np.ndarray:
+    return ((key * np.uint64(_FACTOR)) >> np.uint64(64 - NEAR_BITS)).view(np.int64)
+
+
 def refinement(counts: np.ndarray) -> np.ndarray:
     """Chance of a one by node and step; what the mixer says counts as two outcomes."""
     zeros, ones = counts[0::2], counts[1::2]
@@ -499,8 +531,7 @@ def _scored(model, hot):
         for batch in batches:
             for at, to, data, offsets in tokens.chunks(batch["text"], CHUNK):
                 text, begin = plain(data, offsets)
-                found, place = np.unique(grams(text, begin), return_inverse=True)
-                cost = np.concatenate([[0], np.cumsum(known.of(found)[place])])
+                cost = np.concatenate([[0], np.cumsum(known.each(grams(text, begin)))])
                 words, rows = tokens.word_hashes(data, offsets, powers)
                 near = np.minimum(np.searchsorted(hot_words, words), max(len(hot_words) - 1, 0))
                 is_hot = hot_words[near] == words if len(hot_words) else np.zeros(len(words), bool)

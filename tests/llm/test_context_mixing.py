@@ -145,3 +145,43 @@ def test_runs_hold_the_bytes_before_in_their_row_and_sort_by_the_nearest():
     assert key.tolist() == expected
     by_near = sorted(expected, key=lambda k: (k >> 8).to_bytes(mixlm.MOST_ORDER, "little") + bytes([k & 255]))
     assert key[np.argsort(mixlm.nearest_first(key), kind="stable")].tolist() == by_near
+
+
+def test_known_runs_are_neither_sorted_nor_scored_again(monkeypatch):
+    class Plain:
+        def log2_cost(self, key):
+            return key % np.uint64(1009) + 0.25
+
+    costs, draw, asked = mixlm.Costs(Plain()), np.random.default_rng(7), []
+    of = costs.of
+    monkeypatch.setattr(costs, "of", lambda found: asked.append(len(found)) or of(found))
+    key = draw.integers(0, 5000, 40_000).astype(np.uint64)  # 0: a text that begins with a null byte
+    for _ in range(3):
+        assert np.array_equal(costs.each(key), key % np.uint64(1009) + 0.25)
+    assert asked[0] == len(np.unique(key)) and sum(asked) < 1.1 * asked[0]
+
+
+def test_runs_that_want_one_place_keep_their_own_costs(monkeypatch):
+    class Plain:
+        def log2_cost(self, key):
+            return key + 0.5
+
+    monkeypatch.setattr(mixlm, "NEAR_BITS", 4)
+    costs, draw = mixlm.Costs(Plain()), np.random.default_rng(8)
+    for _ in range(5):
+        key = draw.integers(0, 300, 1000).astype(np.uint64)
+        assert np.array_equal(costs.each(key), key + 0.5)
+    assert np.array_equal(costs.each(key[:0]), np.zeros(0))
+
+
+def test_counts_of_chunks_add_up(monkeypatch):
+    monkeypatch.setattr(mixlm, "HELD_GRAMS", 400)
+    counter, draw, given, all_keys = mixlm.Counter(), np.random.default_rng(9), Counter(), []
+    assert [len(c) for c in mixlm.Counter().merge()] == [0, 0]
+    for _ in range(20):
+        all_keys.append(draw.integers(0, 600, 300).astype(np.uint64))
+        for keys, counts in filter(None, [counter.add(all_keys[-1])]):
+            given.update(dict(zip(keys.tolist(), counts.tolist())))
+    keys, counts = counter.merge()
+    given.update(dict(zip(keys.tolist(), counts.tolist())))
+    assert given == Counter(np.concatenate(all_keys).tolist()) and (np.diff(keys.astype(np.int64)) > 0).all()
